@@ -1,9 +1,11 @@
 """The registered queries of this subpackage, and their SQL."""
 
-from millrace.llm import dedup_exact, secrets
+from millrace.llm import bpe, dedup_exact, packing, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_packing": packing.op2_packing,
+    "op4_bpe": bpe.op4_bpe,
     "op10_exact_dedup": dedup_exact.op10_exact_dedup,
 }
 
