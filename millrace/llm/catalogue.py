@@ -1,12 +1,15 @@
 """The registered queries of this subpackage, and their SQL."""
 
-from millrace.llm import bpe, dedup_exact, packing, secrets
+from millrace.llm import bpe, dedup_exact, knn, packing, secrets, token_counts, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_packing": packing.op2_packing,
+    "op3_top_k": knn.op3_top_k,
     "op4_bpe": bpe.op4_bpe,
+    "op6_token_counts": token_counts.op6_token_counts,
+    "op7_warc": warc.op7_warc,
     "op10_exact_dedup": dedup_exact.op10_exact_dedup,
 }
 
-SQL = {"op10_exact_dedup": dedup_exact.OP10_SQL}
+SQL = {"op3_top_k": knn.OP3_SQL, "op10_exact_dedup": dedup_exact.OP10_SQL}
