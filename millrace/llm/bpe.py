@@ -20,7 +20,9 @@ from millrace.llm.common import blocks, small_batches, whole
 #: White space of Unicode (fixed values), as Rust's regex library has it.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Text bytes whose new words are replayed at once, and words that a worker remembers.
-BLOCK_BYTES, REMEMBERED = 24 << 20, 600_000
+BLOCK_BYTES, REMEMBERED = 8 << 20, 500_000
+#: Words replayed together, positions merged together, and bytes from which a word is done alone.
+BATCH_WORDS, WINDOW, LONG_WORD = 100_000, 8192, 400
 _NONE = np.iinfo(np.int32).max
 _BESIDE = re.compile(" [\\s\x85]|[^\\S ] ")
 
@@ -111,16 +113,32 @@ class Bpe:
         """Ids of all words, in order, and how many each has.
 
         The words form one sequence of linked positions. ``index`` maps a merge (by
-        the id it makes) to the positions of its pair; merges apply in rank order,
-        each to all its positions at once, leftmost first where two overlap, and
-        only the neighbours of what was merged are looked up and indexed again.
-        Words in which a merge opens one of lower rank are done alone.
+        the id it makes, which is its rank) to the positions of its pairs. Merges
+        leave the index in rank order, WINDOW positions or more at a time; a word
+        takes only its first merge of a window, the leftmost of the lowest rank, and
+        has its others put back. Only the neighbours of what was merged are looked
+        up and indexed again. Words don't touch, so each sees its merges in rank
+        order, as if the corpus had been replayed merge by merge.
         """
-        if not words:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        out: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        for i in range(0, len(words), BATCH_WORDS):
+            part = words[i : i + BATCH_WORDS]
+            long = {k: self._alone(w) for k, w in enumerate(part) if len(w) > LONG_WORD}
+            ids, counts = self._replay([b"" if k in long else w for k, w in enumerate(part)] if long else part)
+            if long:
+                cut = np.split(ids, np.cumsum(counts)[:-1])
+                for k, own in long.items():
+                    cut[k] = np.array(own, np.int32)
+                ids, counts = np.concatenate(cut), np.fromiter(map(len, cut), np.int64, len(cut))
+            out.append(ids)
+            sizes.append(counts)
+        return np.concatenate([np.zeros(0, np.int32), *out]), np.concatenate([np.zeros(0, np.int64), *sizes])
+
+    def _replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         lens = np.fromiter(map(len, words), np.int64, len(words))
-        n = int(lens.sum())
-        ends = np.cumsum(lens)
+        n, ends = int(lens.sum()), np.cumsum(lens)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lens)
         tok = self.first[np.frombuffer(b"".join(words), np.uint8)]
         nxt = np.arange(1, n + 1, dtype=np.int64)
         nxt[ends[lens > 0] - 1] = -1
@@ -129,46 +147,29 @@ class Bpe:
         rank = np.full(n, _NONE, np.int32)
         left = np.flatnonzero(nxt >= 0)
         rank[left] = self.pair(tok[left], tok[left + 1])
-        index: dict[int, list[np.ndarray]] = {}
-        queue: list[int] = []
-        odd: list[np.ndarray] = []
-
-        def add(at: np.ndarray, over: int) -> None:
-            r = rank[at]
-            at, r = at[r != _NONE], r[r != _NONE]
-            if (r < over).any():
-                odd.append(at[r < over])
-            order = np.argsort(r, kind="stable")
-            at, r = at[order], r[order]
-            cuts = np.flatnonzero(r[1:] != r[:-1]) + 1
-            edges = [0, *cuts.tolist(), len(r)]
-            for i, j in zip(edges[:-1], edges[1:], strict=True):
-                if j > i:
-                    k = int(r[i])
-                    if k in index:
-                        index[k].append(at[i:j])
-                    else:
-                        index[k] = [at[i:j]]
-                        heapq.heappush(queue, k)
-
-        add(left, -1)
+        left = left[rank[left] != _NONE]
+        left = left[np.argsort(rank[left], kind="stable")]
+        cuts = np.flatnonzero(np.diff(rank[left], prepend=-1)).tolist() + [len(left)]
+        index = {int(rank[left[i]]): left[i:j].tolist() for i, j in zip(cuts[:-1], cuts[1:], strict=True)}
+        queue = sorted(index)
         while queue:
-            r = heapq.heappop(queue)
-            held = index.pop(r)
-            at = held[0] if len(held) == 1 else np.unique(np.concatenate(held))
-            at = at[rank[at] == r]
-            if not len(at):
-                continue
+            taken: list[int] = []
+            under: list[int] = []
+            many: list[int] = []
+            while queue and len(taken) < WINDOW:
+                under.append(heapq.heappop(queue))
+                held = index.pop(under[-1])
+                taken += held
+                many.append(len(held))
+            at = np.array(taken, np.int64)
+            at = at[rank[at] == np.repeat(np.array(under, np.int32), many)]  # else the pair has changed since
+            at = at[np.lexsort((at, rank[at]))]
+            pick = np.zeros(len(at), bool)
+            pick[np.unique(word[at], return_index=True)[1]] = True
+            back, at = at[~pick], at[pick]
             right = nxt[at]
-            if len(at) > 1:
-                joined = right[:-1] == at[1:]
-                if joined.any():  # in a chain of overlapping pairs, every other one merges
-                    new = np.concatenate([[True], ~joined])
-                    first = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-                    at = at[(np.arange(len(at)) - first) % 2 == 0]
-                    right = nxt[at]
             after = nxt[right]
-            tok[at], tok[right] = r, -1
+            tok[at], tok[right] = rank[at], -1
             rank[right] = _NONE
             nxt[at] = after
             more = after >= 0
@@ -177,29 +178,37 @@ class Bpe:
             touched = np.concatenate([at, before[before >= 0]])
             follow = nxt[touched]
             rank[touched] = np.where(follow >= 0, self.pair(tok[touched], tok[follow]), _NONE)
-            add(touched, r)
-        alive = tok >= 0
-        counts = np.add.reduceat(np.concatenate([alive, [0]]).astype(np.int64), np.minimum(ends - lens, n)) * (lens > 0)
-        ids = tok[alive]
-        if odd:
-            ids, counts = self._redo(words, ids, counts, np.unique(np.searchsorted(ends, np.concatenate(odd), "right")))
-        return ids, counts
-
-    def _redo(self, words, ids, counts, which):
-        cut = np.split(ids, np.cumsum(counts)[:-1])
-        for w in which.tolist():
-            cut[w] = np.array(self._alone(words[w]), np.int32)
-        return np.concatenate(cut), np.fromiter(map(len, cut), np.int64, len(cut))
+            again = np.concatenate([touched, back])
+            again = again[rank[again] != _NONE]
+            for r, p in zip(rank[again].tolist(), again.tolist(), strict=True):
+                if r in index:
+                    index[r].append(p)
+                else:
+                    index[r] = [p]
+                    heapq.heappush(queue, r)
+        alive = np.concatenate([[0], np.cumsum(tok >= 0)])
+        return tok[tok >= 0], alive[ends] - alive[ends - lens]
 
     def _alone(self, word: bytes) -> list[int]:
-        """One word, its lowest pair first, leftmost on ties."""
-        part = [bytes([b]) for b in word]
-        while len(part) > 1:
-            best = min(range(len(part) - 1), key=lambda i: self.ranks.get(part[i] + part[i + 1], _NONE))
-            if part[best] + part[best + 1] not in self.ranks:
-                break
-            part[best : best + 2] = [part[best] + part[best + 1]]
-        return [self.ranks[p] for p in part]
+        """One word with a queue of (rank, position)."""
+        ranks, n = self.ranks, len(word)
+        part: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+        nxt, prv = [*range(1, n), -1], [*range(-1, n - 1)]
+        queue = [(r, i, part[i], part[i + 1]) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
+        heapq.heapify(queue)
+        while queue:
+            _, i, a, b = heapq.heappop(queue)
+            j = nxt[i]
+            if part[i] != a or j < 0 or part[j] != b:
+                continue
+            part[i], part[j] = a + b, None
+            nxt[i] = nxt[j]
+            if nxt[i] >= 0:
+                prv[nxt[i]] = i
+            for x in (prv[i], i):
+                if x >= 0 and nxt[x] >= 0 and (r := ranks.get(part[x] + part[nxt[x]])) is not None:
+                    heapq.heappush(queue, (r, x, part[x], part[nxt[x]]))
+        return [ranks[p] for p in part if p is not None]
 
     def encode(self, texts: list[str], part: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each ``part`` texts: their ids in a row, and how many each text has.
