@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL."""
 
-from millrace.llm import bpe, dedup_exact, knn, packing, secrets, token_counts, warc
+from millrace.llm import bpe, dedup_exact, knn, packing, quality, secrets, token_counts, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_bpe": bpe.op4_bpe,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_warc": warc.op7_warc,
+    "op8_quality": quality.op8_quality,
     "op10_exact_dedup": dedup_exact.op10_exact_dedup,
 }
 
