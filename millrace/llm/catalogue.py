@@ -1,12 +1,13 @@
 """The registered queries of this subpackage, and their SQL."""
 
-from millrace.llm import bpe, dedup_exact, knn, packing, quality, secrets, token_counts, warc
+from millrace.llm import bpe, dedup_exact, knn, near_dup, packing, quality, secrets, token_counts, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_packing": packing.op2_packing,
     "op3_top_k": knn.op3_top_k,
     "op4_bpe": bpe.op4_bpe,
+    "op5_near_dup": near_dup.op5_near_dup,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_warc": warc.op7_warc,
     "op8_quality": quality.op8_quality,
