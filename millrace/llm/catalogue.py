@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL."""
 
-from millrace.llm import bpe, dedup_exact, knn, near_dup, packing, quality, secrets, token_counts, warc
+from millrace.llm import bpe, dedup_exact, knn, near_dup, packing, quality, secrets, suffix_dedup, token_counts, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_warc": warc.op7_warc,
     "op8_quality": quality.op8_quality,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_exact_dedup": dedup_exact.op10_exact_dedup,
 }
 

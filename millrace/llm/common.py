@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -127,3 +128,9 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
         out = links.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         out = out.unionByName(least.select("a", F.col("m").alias("b")))
     return out.where("a <> b").distinct()
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that are done; else they stay until memory runs short."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
