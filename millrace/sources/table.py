@@ -206,7 +206,11 @@ class Table:
         writer = out.write.format(state.format)
         if rows_per_file:
             writer = writer.option("maxRecordsPerFile", rows_per_file)
-        (writer.partitionBy(*by) if by else writer).save(f"{self.folder}/{name}")
+        try:
+            (writer.partitionBy(*by) if by else writer).save(f"{self.folder}/{name}")
+        except Exception:
+            self.store.delete(name)
+            raise
         return name
 
     def append(self, rows: DataFrame, batch_id: str | None = None, rows_per_file: int = 0) -> bool:
