@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import blocks, scratch, small_batches, table, whole
+from millrace.llm.common import blocks, release, scratch, small_batches, table, whole
 
 #: Bytes of a gram (at most 7, as grams are packed in longs), and of the alphabet with its two marks.
 ORDER, ALPHABET = 4, 258
@@ -57,7 +57,7 @@ def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang_key, n_bytes, gram, logp, backoff) from (lang_key, gram, n) of the highest order.
+    """(lang_key, n_bytes, gram, logp, backoff) from a stored (lang_key, gram, n) of the highest order.
 
     Lower orders count the distinct bytes before a gram. Each order has three
     discounts a language, from its counts of counts. A gram's probability is its
@@ -68,15 +68,15 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     levels = {order: counts}
     for k in range(order - 1, 0, -1):
         low = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
-        levels[k] = levels[k + 1].groupBy("lang_key", low.alias("gram")).agg(F.count("*").alias("n"))
+        levels[k] = table(levels[k + 1].groupBy("lang_key", low.alias("gram")).agg(F.count("*").alias("n")), f"kn-counts-{k}")
     out, lower = None, None
     for k in range(1, order + 1):
         level = levels[k].withColumn("context", F.shiftright("gram", 8))
         seen = level.groupBy("lang_key").agg(*(F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)))
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
         discount = {
             i: F.greatest(
-                F.lit(0.1), F.least(F.lit(i - 0.1), F.coalesce(i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}"), F.lit(0.5 * i)))
+                F.lit(0.1), F.least(F.lit(i - 0.1), F.coalesce(i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")), F.lit(0.5 * i)))
             )
             for i in (1, 2, 3)
         }
@@ -239,7 +239,10 @@ def classify(
     taught = rows.select("id", "text", F.xxhash64(lang, 1 - F.col("half")).alias("lang_key"))
     judged = rows.select("id", "lang", "text", F.xxhash64(lang, "half").alias("lang_key"))
     ids = trusted.select(F.col(id_col).alias("id")).distinct()
-    model = table(kneser_ney(gram_counts(taught.join(ids, "id", "left_semi"), order), order), "kn-model")
+    # merged at every size: a broadcast of the ids would have no bound
+    counts = table(gram_counts(taught.join(ids.hint("merge"), "id", "left_semi"), order), "kn-counts")
+    release(spark)
+    model = table(kneser_ney(counts, order), "kn-model")
     shards = max(1, -(-model.count() // SHARD_ROWS))
     path = scratch(spark, "kn-shards")
     shard = F.pmod("gram", F.lit(shards)).cast("int")
