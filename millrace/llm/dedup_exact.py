@@ -97,7 +97,7 @@ def _members(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     spread = groups.withColumn(
         "salt", F.explode(F.expr(f"filter(sequence(0, {MAX_SALTS - 1}), s -> (shiftright(mask, s) & 1L) = 1L)"))
     ).drop("mask")
-    return rows.select("id", *keys).join(spread, keys)
+    return rows.select("id", *keys).join(spread, keys).select("id", "keep_id", "group_size", "text_sha256")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
