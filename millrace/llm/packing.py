@@ -120,12 +120,12 @@ def _knapsack(worth: np.ndarray, room: int) -> tuple[float, np.ndarray]:
     return best[room], pattern
 
 
-def cutting_stock(demand: np.ndarray, gap: float = 1e-3, max_columns: int = 20_000) -> Plan:
+def cutting_stock(demand: np.ndarray, gap: float = 1e-3, max_columns: int = 2_000) -> Plan:
     """Patterns that cover ``demand`` (pieces of class 1..room) with few sequences.
 
     The linear program over patterns is solved by the revised simplex method; the
-    knapsack prices columns until none improves, or the best dual bound lies within
-    ``gap``. Prices are drawn towards those of the best bound so far, which saves
+    knapsack prices columns until none improves, the best dual bound lies within
+    ``gap``, or ``max_columns`` were priced (any basis is a valid answer). Prices are drawn towards those of the best bound so far, which saves
     most columns. Patterns are taken rounded down; what is left, a number of pieces
     that depends on the classes alone, is packed best-fit by decreasing class.
     """
