@@ -82,7 +82,7 @@ class TokenRollup:
         self._fs.mkdirs(self._path(f"{self.folder}/commits"))
 
     def committed(self, batch_id: str) -> bool:
-        return self._fs.exists(self._path(self._commit(batch_id))) or batch_id in self._compacted()
+        return self._fs.exists(self._path(self._commit(batch_id))) or quote(batch_id, safe="") in self._compacted()
 
     def apply(self, batch_id: str, changes: DataFrame) -> bool:
         """Add the batch to the totals; False if it was committed before."""
