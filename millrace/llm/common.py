@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 ARROW_ROWS = "512"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
@@ -55,9 +58,14 @@ def table(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage: a lost executor costs no recomputation of what is
     below it.
     """
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # its shuffle files go when it is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -14,7 +14,7 @@ from millrace.llm.common import release, small_batches, table, whole
 
 #: Bytes of a match, and of the gram by whose hash windows find each other.
 MATCH, GRAM = 50, 20
-_REACH = MATCH - GRAM + 1
+_REACH, _SIDE = MATCH - GRAM + 1, (MATCH - GRAM) // 2
 #: Positions hashed at once (below 2^16), bytes of an index, pieces of a gram beyond which they are split.
 SEGMENT, INDEX_BYTES, CROWD = 60_000, 2 << 20, 20_000
 _U = np.uint64
@@ -54,16 +54,19 @@ class _Rolling:
         return _mixed((self.sums[end] - self.sums[start]) * _DOWN[self.which][start] + (end - start).astype(_U))
 
 
-def pieces(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(gram, body, start, windows): the windows of MATCH bytes by their least gram.
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of MATCH bytes by their least gram, as two packed longs a piece.
 
     Consecutive windows whose least gram hash (the leftmost, of equals) is the same
     gram form a piece. Equal windows have the same gram at the same place, so they
-    meet under ``gram``; pieces with equal ``body`` hold equal bytes around it.
+    meet under its hash. Such windows reach _SIDE bytes or more beyond the gram to the
+    left or to the right, so pieces with one in common agree in a hash of that side.
+    First long: 40 bits of the gram's hash, 24 of the piece's. Second: 8 more of the
+    piece's, 10 each of the left and right sides' (0: no window reaches so far), 5 for
+    the windows less one, 31 for the start.
     """
     out: list[tuple[np.ndarray, ...]] = []
-    n = len(data) - MATCH + 1
-    for base in range(0, n, SEGMENT):
+    for base in range(0, len(data) - MATCH + 1, SEGMENT):
         part = data[base : base + SEGMENT + MATCH - 1]
         first, second = _Rolling(part, 0), _Rolling(part, 1)
         at = np.arange(len(part) - GRAM + 1)
@@ -72,13 +75,19 @@ def pieces(data: np.ndarray) -> tuple[np.ndarray, ...]:
         for step in (1, 2, 4, 8, _REACH - 16):
             least = np.minimum(least[:-step], least[step:])
         starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-        ends = np.append(starts[1:], len(least))
+        ends = np.append(starts[1:], len(least))  # of window starts
         where = (least[starts] & _U(0xFFFF)).astype(np.int64)
         body = _mixed(second(starts, ends + MATCH - 1) + (where - starts).astype(_U))
-        out.append((gram[where], body, starts + base, ends - starts))
+        left = second(np.maximum(where - _SIDE, 0), where) % _U(1023) + _U(1)
+        left[where - starts < _SIDE] = 0
+        right = second(where + GRAM, np.minimum(where + GRAM + _SIDE, len(part))) % _U(1023) + _U(1)
+        right[where - ends + 1 > _REACH - 1 - _SIDE] = 0
+        one = gram[where] >> _U(24) << _U(24) | body >> _U(40)
+        two = (body & _U(0xFF)) << _U(56) | left << _U(46) | right << _U(36) | (ends - starts - 1).astype(_U) << _U(31)
+        out.append((one, two | (starts + base).astype(_U)))
     if not out:
-        return np.zeros(0, _U), np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x).view(np.int64) for x in zip(*out, strict=True))
 
 
 class RunLengthIndex:
@@ -175,75 +184,83 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found.append(pieces(data))
                 keys.append(np.full(len(found[-1][0]), key, np.int64))
         if found:
-            gram, body, start, windows = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.view(np.int64)), pa.array(body.view(np.int64)), pa.array(np.concatenate(keys)), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int8))],
-                ["gram", "body", "id", "start", "windows"],
-            )
+            one, two = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(np.concatenate(keys))], ["one", "two", "id"])
+
+
+def _several(side: np.ndarray, group: np.ndarray, body: np.ndarray) -> np.ndarray:
+    """Whether another body of a row's gram has the same hash on this side."""
+    key = group << 10 | side
+    pairs = np.unique(np.stack([key, body], axis=1)[side > 0], axis=0)[:, 0] if (side > 0).any() else np.zeros(0, np.int64)
+    many, counts = np.unique(pairs, return_counts=True)
+    return (side > 0) & np.isin(key, many[counts > 1])
+
+
+def _open(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Of the first documents' pieces, sorted: those that may share a window with another body."""
+    gram, rest = one >> 24, two >> 36
+    group = np.cumsum(np.concatenate([[0], gram[1:] != gram[:-1]]))
+    new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] >> 31 != two[:-1] >> 31)])
+    body = np.cumsum(new)
+    alone = np.bincount(group, weights=new)[group] < 2
+    out = ~alone
+    if out.any():
+        at = np.flatnonzero(out)
+        left, right = (rest[at] >> 10) & 1023, rest[at] & 1023
+        out[at] = _several(left, group[at], body[at]) | _several(right, group[at], body[at])
+    return out
 
 
 def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by gram, body, id: those that an earlier document has, and open ones.
+    """Rows sorted by piece and id: those that an earlier document has, and open ones.
 
-    A piece whose body an earlier document has is settled: all its windows go. The
-    pieces of a body's first document stay open if the gram has another body. One
-    gram's first body, and the open rows so far of it in that batch, are all that is
-    held from batch to batch.
+    A piece that an earlier document has is settled: all its windows go. The pieces
+    of its first document stay open if one with another body may have a window of
+    theirs. The first documents' pieces of one gram are held until the gram ends; of
+    a gram with more than CROWD, they are let through as open.
     """
-    names = ["gram", "body", "id", "start", "windows", "open"]
-    gram_now = body_now = first_id = None
-    waiting: list[tuple] = []  # the first body's open rows, until the gram shows another
-    several = False
+    last = (None, None, 0)
+    held: tuple[np.ndarray, ...] = (np.zeros(0, np.int64),) * 3
+    crowd = None
+
+    def rows(one, two, key, open_):
+        start, windows = (two & 0x7FFFFFFF).astype(np.int32), (((two >> 31) & 31) + 1).astype(np.int8)
+        flags = np.full(len(key), open_)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(one >> 24), pa.array(key), pa.array(start), pa.array(windows), pa.array(flags)], ["gram", "id", "start", "windows", "open"]
+        )
+
+    def judged(part, everything=False):
+        one, two, key = part
+        fit = np.ones(len(one), bool) if everything else _open(one, two)
+        if fit.any():
+            yield rows(one[fit], two[fit], key[fit], True)
+
     for batch in batches:
-        gram, body, key = (batch.column(i).to_numpy() for i in range(3))
-        n = len(gram)
-        if not n:
+        one, two, key = (c.to_numpy() for c in batch.columns)
+        if not len(one):
             continue
-        new_gram = np.concatenate([[gram[0] != gram_now], gram[1:] != gram[:-1]])
-        new_body = new_gram | np.concatenate([[body[0] != body_now], body[1:] != body[:-1]])
-        lead = np.maximum.accumulate(np.where(new_body, np.arange(n), -1))
-        first = np.where(lead >= 0, key[np.maximum(lead, 0)], first_id if first_id is not None else 0)
+        body = two >> 31
+        new = np.concatenate([[(one[0], body[0]) != last[:2]], (one[1:] != one[:-1]) | (body[1:] != body[:-1])])
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(one)), -1))
+        first = np.where(lead >= 0, key[np.maximum(lead, 0)], last[2])
+        last = (one[-1], body[-1], first[-1])
         settled = key > first
-        place = np.maximum.accumulate(np.where(new_gram, np.arange(n), -1))
-        bodies = np.cumsum(new_body)
-        last_of_gram = np.flatnonzero(np.append(new_gram[1:], True))
-        group = np.cumsum(new_gram)
-        at_end = bodies[last_of_gram]
-        begin = np.where(place >= 0, bodies[np.maximum(place, 0)], 1)
-        total = at_end[group - (1 if new_gram[0] else 0)] - begin + 1
-        carried = group == 0  # rows of the gram that the last batch ended with
-        if carried.any():
-            more = bool(new_body[carried].any())
-            if more and not several and waiting:
-                yield from _rows(waiting, names)
-            several = several or more
-            multi = np.where(carried, several, total > 1)
-        else:
-            multi = total > 1
-        tail = group == group[-1]
-        keep_open = ~settled & multi
-        take = settled | keep_open
-        if take.any():
-            idx = np.flatnonzero(take)
-            yield pa.RecordBatch.from_arrays(
-                [c.take(pa.array(idx)) for c in batch.columns] + [pa.array(~settled[idx])], names
-            )
-        hold = tail & ~settled & ~multi
-        if group[-1] > 0:
-            waiting = []
-            several = bool(multi[-1])
-        if several:
-            waiting = []
-        elif hold.any():
-            part = batch.take(pa.array(np.flatnonzero(hold)))
-            waiting += list(zip(*(c.to_pylist() for c in part.columns), strict=True))
-        gram_now, body_now, first_id = gram[-1], body[-1], first[-1]
-
-
-def _rows(rows: list[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int8())
-    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-    yield pa.RecordBatch.from_arrays([*columns, pa.array([True] * len(rows))], names)
+        if settled.any():
+            yield rows(one[settled], two[settled], key[settled], False)
+        held = tuple(np.concatenate([h, x[~settled]]) for h, x in zip(held, (one, two, key), strict=True))
+        crowded = held[0] >> 24 == crowd if crowd is not None else np.zeros(len(held[0]), bool)
+        tail = held[0] >> 24 == one[-1] >> 24
+        if (tail & ~crowded).sum() > CROWD:
+            crowd = one[-1] >> 24
+            crowded |= tail
+        if crowded.any():
+            yield from judged(tuple(x[crowded] for x in held), everything=True)
+        if (done := ~crowded & ~tail).any():
+            yield from judged(tuple(x[done] for x in held))
+        held = tuple(x[tail & ~crowded] for x in held)
+    if len(held[0]):
+        yield from judged(held)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,12 +312,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text"))
-    columns = "gram bigint, body bigint, id bigint, start int, windows tinyint"
-    cut = rows.mapInArrow(_cut, columns)
+    cut = rows.mapInArrow(_cut, "one bigint, two bigint, id bigint")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
-    dealt = cut.repartition(n, "gram").sortWithinPartitions("gram", "body", "id")
-    found = table(dealt.mapInArrow(_sorted_out, columns + ", open boolean"), "pieces")
+    dealt = cut.repartition(n, F.expr("shiftright(one, 24)")).sortWithinPartitions("one", F.expr("shiftright(two, 31)"), "id")
+    found = table(dealt.mapInArrow(_sorted_out, "gram bigint, id bigint, start int, windows tinyint, open boolean"), "pieces")
     small_batches(spark)
     release(spark)
     settled = found.where("NOT open").select("id", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + MATCH - 1).cast("int").alias("hi"))
