@@ -266,12 +266,14 @@ class Join:
         fits = common * BASE >= (F.col("na") + F.col("nb") - common) * TOP
         return table(pairs.join(left, "a").join(right, "b").where(fits).select("a", "b"), "links")
 
-    def across(self, runs: DataFrame, roots: DataFrame) -> DataFrame:
+    def across(self, runs: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
         """Likely pairs of long runs that lie in different components so far.
 
         A run whose sets are all in one component is done. The others are dealt to
         blocks of about BLOCK sets, and each two blocks of a run are compared by
-        their sketches in one task.
+        their sketches in one task. ``nearest``: of each component in a comparison,
+        only the pair whose sketches are closest; such pairs join most components,
+        so that few pairs are left when all are asked for.
         """
         rows = runs.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
         mixed = rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
@@ -281,30 +283,49 @@ class Join:
         rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         keys = ["sig", "lo", "hi"]
         rows = rows.select("sig", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "set_id", "root", "n", "sketch")
-        return rows.groupBy(*keys).applyInArrow(_compared, "a bigint, b bigint").distinct()
-
-
-def _compared(group: pa.Table) -> pa.Table:
-    lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-    name, root, n, mine = (group.column(c).to_numpy() for c in ("set_id", "root", "n", "mine"))
-    kept = group.column("sketch").to_pylist()
-    width = min(map(len, kept))
-    bits = np.zeros((len(kept), width), np.int64)
-    for i, k in enumerate(kept):  # parities fold to the narrowest, by halves
-        bits[i] = np.bitwise_xor.reduce(np.array(k, np.int64).reshape(-1, width), axis=0)
-    out = []
-    for i in range(len(name)):
-        if lo != hi and mine[i] != lo:
-            continue
-        other = np.arange(i + 1, len(name)) if lo == hi else np.flatnonzero(mine == hi)
-        sizes = n[i] + n[other]
-        fit = (root[other] != root[i]) & (np.minimum(n[i], n[other]) * BASE >= np.maximum(n[i], n[other]) * TOP)
-        other, sizes = other[fit], sizes[fit]
-        apart = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1)
-        for j in other[apart * (BASE + TOP) <= sizes * (BASE - TOP)].tolist():
-            out.append((min(name[i], name[j]), max(name[i], name[j])))
-    pairs = np.array(out, np.int64).reshape(-1, 2)
-    return pa.table({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
+        return rows.groupBy(*keys).applyInArrow(_compared(nearest), "a bigint, b bigint").distinct()
+
+
+def _compared(nearest: bool):
+    def work(group: pa.Table) -> pa.Table:
+        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
+        name, root, n, mine = (group.column(c).to_numpy() for c in ("set_id", "root", "n", "mine"))
+        kept = group.column("sketch").to_pylist()
+        width = min(map(len, kept))
+        bits = np.zeros((len(kept), width), np.int64)
+        for i, k in enumerate(kept):  # parities fold to the narrowest, by halves
+            bits[i] = np.bitwise_xor.reduce(np.array(k, np.int64).reshape(-1, width), axis=0)
+        best = np.full(len(name), np.iinfo(np.int64).max)
+        with_ = np.full(len(name), -1)
+        out = [np.zeros((0, 2), np.int64)]
+        for i in range(len(name)):
+            if lo != hi and mine[i] != lo:
+                continue
+            other = np.arange(i + 1, len(name)) if lo == hi else np.flatnonzero(mine == hi)
+            fit = (root[other] != root[i]) & (np.minimum(n[i], n[other]) * BASE >= np.maximum(n[i], n[other]) * TOP)
+            other = other[fit]
+            apart = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            fit = apart * (BASE + TOP) <= (n[i] + n[other]) * (BASE - TOP)
+            other, apart = other[fit], apart[fit]
+            if not len(other):
+                continue
+            if not nearest:
+                out.append(np.stack([np.full(len(other), name[i]), name[other]], axis=1))
+                continue
+            closer = other[apart < best[other]]
+            best[closer], with_[closer] = apart[apart < best[other]], i
+            k = int(np.argmin(apart))
+            if apart[k] < best[i]:
+                best[i], with_[i] = apart[k], other[k]
+        if nearest and (with_ >= 0).any():
+            order = np.argsort(best, kind="stable")
+            order = order[with_[order] >= 0]
+            first = order[np.unique(root[order], return_index=True)[1]]
+            out.append(np.stack([name[first], name[with_[first]]], axis=1))
+        pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
+
+    return work
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -316,8 +337,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        give all their pairs, long ones each set with the first.
     3. Sizes and sketches drop pairs; whole sets settle the rest. First each set's
        pair with the least other one, then pairs still in different components, then
-       such pairs of the long runs. No link between components is lost: every two
-       sets of a run are in one component, or were compared.
+       such pairs of the long runs, the closest ones at first. No link between
+       components is lost: every two sets of a run are in one component, or were
+       compared.
 
     Two different shingles are taken for one only if their 64-bit hashes agree.
     Null or empty text: no shingles, a component of its own (its id). Null ids are
@@ -330,11 +352,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = pairs.groupBy("b").agg(F.min(F.struct("a", "na", "nb")).alias("m")).select("m.a", "b", "m.na", "m.nb")
     links = job.linked(least)
     roots = _roots(links)
-    for more in (lambda: pairs, lambda: job.likely(job.across(runs, roots))):
+    rounds = [lambda: pairs, *[lambda: job.likely(job.across(runs, roots, True))] * 2, lambda: job.likely(job.across(runs, roots, False))]
+    for more in rounds:
         open_ = table(_apart(more(), roots), "open")
         if not open_.isEmpty():
             links = links.unionByName(job.linked(open_))
-            roots = _roots(links)
+            roots = table(_roots(links), "roots")
     return _named(job, roots, id_col)
 
 
