@@ -96,24 +96,22 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Connected components of ``edges`` (a long, b long) by large-star and small-star.
 
     Returns (node, component): a row for each node that has an edge to another
-    node, with the smallest node that it can reach. Every round is written to the
-    checkpoint folder; nothing but the count of changed rows reaches the driver.
-    Hubs are never gathered: the stars are joins on node and its minimum.
+    node, with the smallest node that it can reach. Every round is written as a
+    table; nothing but the count and a digest of its links reaches the driver, and
+    the rounds end when these stay as they are. Hubs are never gathered: the stars
+    are joins on node and its minimum.
     """
-    shared_dir(edges.sparkSession)
     links = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     ).distinct()
-    links = links.checkpoint()
-    for _ in range(max_rounds):
-        large = _star(links, larger=True)
-        small = _star(large, larger=False).checkpoint()
-        changed = small.join(links, ["a", "b"], "left_anti").isEmpty() and links.join(
-            small, ["a", "b"], "left_anti"
-        ).isEmpty()
-        links = small
-        if changed:
+    links = table(links, "links-0")
+    before = _digest(links)
+    for k in range(1, max_rounds + 1):
+        links = table(_star(_star(links, larger=True), larger=False), f"links-{k}")
+        after = _digest(links)
+        if after == before:
             break
+        before = after
     else:
         raise RuntimeError("components did not settle")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
@@ -121,6 +119,14 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     )
 
 
+def _digest(links: DataFrame) -> tuple:
+    """Count and two 64-bit digests of distinct links; the order of rows doesn't matter."""
+    found = links.agg(
+        F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", F.lit(1), "a"))
+    )
+    return tuple(found.first())
+
+
 def _star(links: DataFrame, larger: bool) -> DataFrame:
     """One star step over links a > b.
 

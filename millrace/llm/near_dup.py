@@ -275,7 +275,7 @@ class Join:
         only the pair whose sketches are closest; such pairs join most components,
         so that few pairs are left when all are asked for.
         """
-        rows = runs.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+        rows = runs.join(roots, "set_id")
         mixed = rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
         mixed = mixed.where("lo <> hi").select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
         rows = rows.join(mixed, "sig").join(self.sets.select("set_id", "n", "sketch"), "set_id")
@@ -350,31 +350,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs, runs = job.candidates()
     pairs = table(job.likely(pairs), "likely")
     least = pairs.groupBy("b").agg(F.min(F.struct("a", "na", "nb")).alias("m")).select("m.a", "b", "m.na", "m.nb")
-    links = job.linked(least)
-    roots = _roots(links)
+    roots = _joined(job.sets.select("set_id", F.col("set_id").alias("root")), job.linked(least))
     rounds = [lambda: pairs, *[lambda: job.likely(job.across(runs, roots, True))] * 2, lambda: job.likely(job.across(runs, roots, False))]
     for more in rounds:
         open_ = table(_apart(more(), roots), "open")
         if not open_.isEmpty():
-            links = links.unionByName(job.linked(open_))
-            roots = table(_roots(links), "roots")
+            roots = _joined(roots, job.linked(open_))
     return _named(job, roots, id_col)
 
 
-def _roots(links: DataFrame) -> DataFrame:
-    return components(links).select(F.col("node").alias("set_id"), F.col("component").alias("root"))
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (set_id, root) of all sets after ``links``; only the roots that these touch are gone through."""
+    ra = roots.select(F.col("set_id").alias("a"), F.col("root").alias("ra"))
+    rb = roots.select(F.col("set_id").alias("b"), F.col("root").alias("rb"))
+    between = links.join(ra, "a").join(rb, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    found = components(between).withColumnRenamed("node", "root")
+    return table(roots.join(found, "root", "left").select("set_id", F.coalesce("component", "root").alias("root")), "roots")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     ra = roots.select(F.col("set_id").alias("a"), F.col("root").alias("ra"))
     rb = roots.select(F.col("set_id").alias("b"), F.col("root").alias("rb"))
-    both = pairs.join(ra, "a", "left").join(rb, "b", "left")
-    return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "na", "nb")
+    return pairs.join(ra, "a").join(rb, "b").where("ra <> rb").select("a", "b", "na", "nb")
 
 
 def _named(job: Join, roots: DataFrame, id_col: str) -> DataFrame:
-    sets = job.sets.select("set_id", "first").join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    sets = table(sets, "set-roots")
+    sets = table(job.sets.select("set_id", "first").join(roots, "set_id"), "set-roots")
     names = sets.groupBy("root").agg(F.min("first").alias("component_id"))
     named = sets.join(names, "root").select("set_id", "component_id")
     return job.described.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id")).join(
