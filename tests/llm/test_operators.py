@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 pytest.importorskip("millrace.llm")
 
 from millrace.llm import bpe, dedup_exact, knn, near_dup, packing, quality, secrets, suffix_dedup, token_counts, warc  # noqa: E402
+from millrace.llm.common import components  # noqa: E402
 
 from . import cases  # noqa: E402
 
@@ -214,8 +215,10 @@ def test_near_duplicates(spark):
     assert near_dup.near_duplicates(cases.empty(spark)).count() == 0
 
 
-def test_near_duplicates_of_crowded_signatures(spark):
-    """Chains of small texts: more sets share a signature than are paired at once."""
+@pytest.mark.parametrize("block", [near_dup.BLOCK, 16])
+def test_near_duplicates_of_crowded_signatures(spark, monkeypatch, block):
+    """Chains of small texts: more sets share a signature than are paired at once, or fit a block."""
+    monkeypatch.setattr(near_dup, "BLOCK", block)
     base = cases.prose(9, 30).split()
     rows = [(i, " ".join([*base, *(f"w{i}" for _ in range(i % 3))][: 30 + i % 3])) for i in range(90)]
     rows += [(200 + i, " ".join(base[:15] + [f"q{i}{j}" for j in range(15)])) for i in range(60)]
@@ -224,6 +227,20 @@ def test_near_duplicates_of_crowded_signatures(spark):
     assert got == cases.linked_groups(rows)
 
 
+def test_components(spark):
+    """Chains, a hub, repeated and turned links, links of a node with itself; negative ids; no links."""
+    links = [(i, i + 1) for i in range(10, 40)] + [(i + 1, i) for i in range(60, 75)] + [(100, 100 + i) for i in range(1, 50)]
+    links += [(-5, 10), (-5, 10), (10, -5), (200, 200), (75, 149)]
+    got = components(spark.createDataFrame(links, "a bigint, b bigint").repartition(5)).collect()
+    least = {x: x for link in links for x in link}
+    for _ in least:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    del least[200]
+    assert len(got) == len(least) and {r["node"]: r["component"] for r in got} == least
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 # --- token counts
 
 
