@@ -37,14 +37,38 @@ headers request response content type application json charset utf-8 base64 enco
 """
 
 
+def _bare(word: str) -> str:
+    """A run without the padding and joints at its ends, by which copies may differ."""
+    return word.strip("+/_=-") or word
+
+
+def _copies(text: str, values: set[str]) -> Iterator[tuple[int, int]]:
+    """Places of ``values`` in the runs of text, the longest at each; they don't overlap."""
+    if not values:
+        return
+    least = min(map(len, values))
+    heads: dict[str, dict[int, set[str]]] = {}
+    for v in values:
+        heads.setdefault(v[:least], {}).setdefault(len(v), set()).add(v)
+    for run in re.finditer(f"[A-Za-z0-9+/_=-]{{{least},}}", text):
+        at = run.start()
+        while at + least <= run.end():
+            sizes = heads.get(text[at : at + least], {})
+            n = max((n for n, same in sizes.items() if text[at : at + n] in same), default=0)
+            if n:
+                yield at, at + n
+            at += n or 1
+
+
 class Scanner:
     """Finds secrets in one text; holds the primed compressor.
 
     A candidate is a run of 16 or more token characters that mixes digits and
     letters, in the ``reach`` characters after a sensitive word, outside the
     pattern spans. Its novelty is what it adds to the compressed size of its
-    surroundings (``around`` characters to either side) under the identifier
-    dictionary; at ``novelty`` bytes a character or more it is reported.
+    surroundings (``around`` characters to either side, other copies of it blanked)
+    under the identifier dictionary; at ``novelty`` bytes a character or more it is
+    reported, and so is every other copy of it in the text, whatever stands before.
     """
 
     def __init__(self, novelty: float = 0.6, around: int = 200, reach: int = 48):
@@ -56,8 +80,14 @@ class Scanner:
         return len(self._press.compress(text.encode()))
 
     def added_bytes(self, text: str, start: int, end: int) -> int:
-        """Compressed bytes that text[start:end] adds to its surroundings."""
-        before, after = text[max(0, start - self.around) : start], text[end : end + self.around]
+        """Compressed bytes that text[start:end] adds to its surroundings, other copies of it blanked."""
+        value = _bare(text[start:end])
+        blank, more = " " * len(value), len(value) - 1
+        # Copies that the bounds of the surroundings would cut are blanked too.
+        low = max(0, start - self.around)
+        far = max(0, low - more)
+        before = text[far:start].replace(value, blank)[low - far :]
+        after = text[end : end + self.around + more].replace(value, blank)[: self.around]
         return self._size(before + text[start:end] + after) - self._size(before + after)
 
     def scan(self, text: str) -> list[tuple[int, int, int, float]]:
@@ -74,15 +104,25 @@ class Scanner:
             found += base
             if not base and not word.isalpha() and any(c.isdigit() for c in word) and any(c.isalpha() for c in word):
                 maybe.append((at, run.end()))
-        covered = [(s, e) for s, _, e in found]
         out = [(*x, self.added_bytes(text, x[0], x[2]) / (x[2] - x[0])) for x in found]
+        if not maybe:
+            return sorted(out)
+        covered = bytearray(len(text))
+        for start, _, end in found:
+            covered[start:end] = b"\1" * (end - start)
+        values = set()
         for start, end in maybe:
-            if any(s < end and start < e for s, e in covered):
+            if covered.find(1, start, end) >= 0:
                 continue
             if _SENSITIVE.search(text, max(0, start - self.reach), start):
                 score = self.added_bytes(text, start, end) / (end - start)
                 if score >= self.novelty:
                     out.append((start, 3, end, score))
+                    covered[start:end] = b"\1" * (end - start)
+                    values.add(_bare(text[start:end]))
+        for start, end in _copies(text, values):
+            if covered.find(1, start, end) < 0:
+                out.append((start, 3, end, self.added_bytes(text, start, end) / (end - start)))
         return sorted(out)
 
 

@@ -78,6 +78,22 @@ def test_secret_novelty():
     assert scanner.scan("the key words1234words1234words1234words1234words1234 words1234words1234words1234") == []
 
 
+def spots(text, value):
+    return [(m.start(), m.end()) for m in re.finditer(re.escape(value), text)]
+
+
+def test_secret_copies():
+    scanner, key = secrets.Scanner(), "zQ8vT2mK9xW4pL7nR3aB"
+    line = f'client credential "{key}"\n'
+    texts = [line * 2, line * 30, line + "the quick brown fox jumps " * 5 + line, line + f"sent {key} to the host" + " word" * 90 + f" //host/{key}/x"]
+    # A copy that the bound of the surroundings cuts.
+    texts += [line + "ab " * n + " " * k + line for n in (55, 60) for k in range(3)]
+    for text in texts:
+        assert [(s, e) for s, k, e, _ in scanner.scan(text) if k == 3] == spots(text, key), text
+        assert key not in secrets._masked(text, scanner, "[SECRET]")
+    assert scanner.scan(f"see page {key} of the book, and page {key}") == []
+
+
 def test_secret_scan_and_redaction(spark):
     docs = cases.documents(spark)
     found = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs).collect()}
