@@ -22,6 +22,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 #: Every access key, long hex number and novelty candidate lies in such a run.
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What stands between the '=' of a run, with the padding at its end.
+_VALUE = re.compile(r"[^=]+(?:=+\Z)?")
 _SENSITIVE = re.compile(
     r"passw|pwd|secret|token|key|cred|auth|bearer|private|login|session|cookie|signature|sig\b|salt|cert", re.I | re.A
 )
@@ -65,7 +67,8 @@ class Scanner:
 
     A candidate is a run of 16 or more token characters that mixes digits and
     letters, in the ``reach`` characters after a sensitive word, outside the
-    pattern spans. Its novelty is what it adds to the compressed size of its
+    pattern spans. Of a run with '=' inside, each part of 16 or more characters is
+    a candidate, and the names before it may hold the word. Its novelty is what it adds to the compressed size of its
     surroundings (``around`` characters to either side, other copies of it blanked)
     under the identifier dictionary; at ``novelty`` bytes a character or more it is
     reported, and so is every other copy of it in the text, whatever stands before.
@@ -102,8 +105,13 @@ class Scanner:
             base = [(m.start() + at, 1, m.end() + at) for m in _ACCESS.finditer(word)]
             base += [(m.start() + at, 2, m.end() + at) for m in _HEX.finditer(word)]
             found += base
-            if not base and not word.isalpha() and any(c.isdigit() for c in word) and any(c.isalpha() for c in word):
-                maybe.append((at, run.end()))
+            if base:
+                continue
+            parts = [(m.start() + at, m.end() + at) for m in _VALUE.finditer(word) if len(m[0]) >= 16]
+            for start, end in parts or [(at, run.end())]:
+                part = text[start:end]
+                if any(c.isdigit() for c in part) and any(c.isalpha() for c in part):
+                    maybe.append((start, end))
         out = [(*x, self.added_bytes(text, x[0], x[2]) / (x[2] - x[0])) for x in found]
         if not maybe:
             return sorted(out)

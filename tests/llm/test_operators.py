@@ -94,6 +94,19 @@ def test_secret_copies():
     assert scanner.scan(f"see page {key} of the book, and page {key}") == []
 
 
+def test_secret_unspaced_assignments():
+    scanner, key = secrets.Scanner(), "zQ8vT2mK9xW4pL7nR3aB"
+    texts = [f"export PRIVATE_KEY={key}", f"AUTH={key}", f"client_credential={key}\n", f"env AUTH=={key} run", f"X=1=AUTH={key}=v"]
+    texts += [f"AUTH={key}\nexport PRIVATE_KEY={key}\nAUTH={key}", f"PRIVATE_KEY={key}={key}"]
+    for text in texts:
+        assert [(s, e) for s, k, e, _ in scanner.scan(text) if k == 3] == spots(text, key), text
+    padded = f"AUTH={key}=="
+    assert [x[:3] for x in scanner.scan(padded)] == [(5, 3, len(padded))]
+    assert scanner.scan(f"page={key}") == []
+    short = "client credential a1=zQ8vT2mK9xW4pL"
+    assert [x[:3] for x in scanner.scan(short)] == [(18, 3, len(short))]
+
+
 def test_secret_scan_and_redaction(spark):
     docs = cases.documents(spark)
     found = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs).collect()}
