@@ -24,6 +24,9 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: What stands between the '=' of a run, with the padding at its end.
 _VALUE = re.compile(r"[^=]+(?:=+\Z)?")
+#: Long parts between joints, in a run that doesn't mix digits and letters.
+_PART = re.compile(r"[^+/_=-]{16,}")
+_FREE = re.compile(rb"\0{16,}")
 _SENSITIVE = re.compile(
     r"passw|pwd|secret|token|key|cred|auth|bearer|private|login|session|cookie|signature|sig\b|salt|cert", re.I | re.A
 )
@@ -44,6 +47,22 @@ def _bare(word: str) -> str:
     return word.strip("+/_=-") or word
 
 
+def _candidates(text: str, covered: bytearray, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """What is to be measured of text[start:end], a run or a part of one."""
+    if covered.find(1, start, end) >= 0:
+        for free in _FREE.finditer(covered, start, end):
+            left = text[free.start() : free.end()].lstrip("+/_=-")
+            at, bare = free.end() - len(left), left.rstrip("+/_=-")
+            if len(bare) >= 16:
+                yield from _candidates(text, covered, at, at + len(bare))
+        return
+    word = text[start:end]
+    if any(c.isdigit() for c in word) and any(c.isalpha() for c in word):
+        yield start, end
+    else:
+        yield from (m.span() for m in _PART.finditer(text, start, end))
+
+
 def _copies(text: str, values: set[str]) -> Iterator[tuple[int, int]]:
     """Places of ``values`` in the runs of text, the longest at each; they don't overlap."""
     if not values:
@@ -65,10 +84,11 @@ def _copies(text: str, values: set[str]) -> Iterator[tuple[int, int]]:
 class Scanner:
     """Finds secrets in one text; holds the primed compressor.
 
-    A candidate is a run of 16 or more token characters that mixes digits and
-    letters, in the ``reach`` characters after a sensitive word, outside the
-    pattern spans. Of a run with '=' inside, each part of 16 or more characters is
-    a candidate, and the names before it may hold the word. Its novelty is what it adds to the compressed size of its
+    A candidate is a run of 16 or more token characters, in the ``reach`` characters
+    after a sensitive word; where pattern spans lie in it, what is left of it by
+    16 or more. Of a run with '=' inside, each part of 16 or more characters is
+    a candidate, and the names before it may hold the word. Of a run that doesn't mix
+    digits and letters, each 16 or more letters or digits between joints are one. Its novelty is what it adds to the compressed size of its
     surroundings (``around`` characters to either side, other copies of it blanked)
     under the identifier dictionary; at ``novelty`` bytes a character or more it is
     reported, and so is every other copy of it in the text, whatever stands before.
@@ -105,13 +125,8 @@ class Scanner:
             base = [(m.start() + at, 1, m.end() + at) for m in _ACCESS.finditer(word)]
             base += [(m.start() + at, 2, m.end() + at) for m in _HEX.finditer(word)]
             found += base
-            if base:
-                continue
             parts = [(m.start() + at, m.end() + at) for m in _VALUE.finditer(word) if len(m[0]) >= 16]
-            for start, end in parts or [(at, run.end())]:
-                part = text[start:end]
-                if any(c.isdigit() for c in part) and any(c.isalpha() for c in part):
-                    maybe.append((start, end))
+            maybe += parts or [(at, run.end())]
         out = [(*x, self.added_bytes(text, x[0], x[2]) / (x[2] - x[0])) for x in found]
         if not maybe:
             return sorted(out)
@@ -119,9 +134,7 @@ class Scanner:
         for start, _, end in found:
             covered[start:end] = b"\1" * (end - start)
         values = set()
-        for start, end in maybe:
-            if covered.find(1, start, end) >= 0:
-                continue
+        for start, end in [c for part in maybe for c in _candidates(text, covered, *part)]:
             if _SENSITIVE.search(text, max(0, start - self.reach), start):
                 score = self.added_bytes(text, start, end) / (end - start)
                 if score >= self.novelty:

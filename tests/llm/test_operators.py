@@ -107,6 +107,21 @@ def test_secret_unspaced_assignments():
     assert [x[:3] for x in scanner.scan(short)] == [(18, 3, len(short))]
 
 
+def test_secret_letters_digits_and_rests():
+    scanner, key = secrets.Scanner(), "zQ8vT2mK9xW4pL7nR3aB"
+    for value in ("qzvxtkmwplrnaybcdjfh", "QzvXtkmWplrNaybCdjfH", "83017492655103846927"):
+        text = f'client credential "{value}" for the service'
+        assert [(s, e) for s, k, e, _ in scanner.scan(text) if k == 3] == spots(text, value), text
+    for joint in "/=-_":
+        for base in ("AKIA" + "Q" * 16, "0123456789abcdef01234567"):
+            # An access key takes in the capitals that follow, a hex number its digits; joints end both.
+            for text in (f"session {base}{joint}{key} end", f"session {key}{joint}{base} end", f"auth {key}{joint}{base}{joint}{key}"):
+                assert [(s, e) for s, k, e, _ in scanner.scan(text) if k == 3] == spots(text, key), text
+                assert [x[:3] for x in scanner.scan(text) if x[1] < 3] == base_spans(text)
+    assert scanner.scan("the key zzzzzzzzzzzzzzzzzzzzzzzz and 1111111111111111 ------------------------") == []
+    assert scanner.scan("token get_authenticated_session_handler some-hyphenated-css-class-name") == []
+
+
 def test_secret_scan_and_redaction(spark):
     docs = cases.documents(spark)
     found = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs).collect()}
