@@ -85,11 +85,13 @@ def sketch(own: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    """(id, text, row): row is a hash of both, never null, by which a text is found again."""
+    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    return rows.withColumn("row", F.xxhash64("id", "text"))
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    """(id, n_shingles, set_id, sketch) of (id, text)."""
+    """(id, n_shingles, set_id, sketch, row) of (id, text, row)."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,11 +100,11 @@ def _described(rows: DataFrame) -> DataFrame:
             names = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], _U).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names),
-                 pa.array([sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                ["id", "n_shingles", "set_id", "sketch"],
+                 pa.array([sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64())), batch.column(2)],
+                ["id", "n_shingles", "set_id", "sketch", "row"],
             )
 
-    return rows.mapInArrow(work, f"id {kind}, n_shingles bigint, set_id bigint, sketch array<bigint>")
+    return rows.mapInArrow(work, f"id {kind}, n_shingles bigint, set_id bigint, sketch array<bigint>, row bigint")
 
 
 def _signed(rows: DataFrame) -> DataFrame:
@@ -222,7 +224,8 @@ class Join:
         self.described = table(_described(self.rows), "sets")
         self.sets = table(
             self.described.where("n_shingles > 0").groupBy("set_id").agg(
-                F.min("id").alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
+                F.min("id").alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"),
+                F.min("row").alias("row"),
             ),
             "distinct-sets",
         )
@@ -249,13 +252,16 @@ class Join:
     def linked(self, pairs: DataFrame) -> DataFrame:
         """Those of ``likely`` pairs that are linked, by their whole sets."""
         wanted = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
-        ids = self.sets.join(wanted, "set_id", "left_semi").select(F.col("first").alias("id"), "set_id")
-        texts = self.rows.join(ids, "id")
+        texts = self.rows.join(self.sets.join(wanted, "set_id", "left_semi").select("row", "set_id"), "row")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                own = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], ["set_id", "own"])
+                sets = [shingles(t) for t in batch.column(1).to_pylist()]
+                names = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], _U).view(np.int64)
+                # Another row's text may come along if the hashes of rows agree.
+                right = np.flatnonzero(names == batch.column(0).to_numpy())
+                own = pa.array([sets[i].view(np.int64) for i in right], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(names[right]), own], ["set_id", "own"])
 
         full = table(
             texts.select("set_id", "text").mapInArrow(work, "set_id bigint, own array<bigint>").dropDuplicates(["set_id"]), "full-sets"
@@ -343,7 +349,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two different shingles are taken for one only if their 64-bit hashes agree.
     Null or empty text: no shingles, a component of its own (its id). Null ids are
-    never a component's id unless all of its ids are null. Repeated rows fall in one
+    never a component's id unless all of its ids are null; their rows link others as any
+    do, and so does each text of a repeated id. Repeated rows fall in one
     component. Empty table: no rows. Other columns are ignored.
     """
     job = Join(docs, id_col, text_col)

@@ -271,6 +271,24 @@ def test_near_duplicates_of_crowded_signatures(spark, monkeypatch, block):
     assert got == cases.linked_groups(rows)
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    """A chain through a set that only null ids hold, and links of each text of one id."""
+    base, other = cases.prose(11, 60).split(), cases.prose(12, 60).split()
+    chain = [" ".join(base[i : i + 50]) for i in (0, 5, 10)]
+    again = [" ".join(w) for w in (base[10:], other[:50], other[5:55])]
+    rows = [(1, chain[0]), (None, chain[1]), (2, chain[2]), (None, chain[1]), (7, "x " + again[0]), (7, again[1]), (9, again[2])]
+    assert cases.linked_groups([(0, chain[0]), (1, chain[2])])[1][1] == 1
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(docs).collect()), key=str)
+    at = cases.linked_groups([(i, t) for i, (_, t) in enumerate(rows)])
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[at[i][1]] = min(doc, least.get(at[i][1], doc))
+    want = [(doc, at[i][0], least.get(at[i][1])) for i, (doc, _) in enumerate(rows)]
+    assert got == sorted(want, key=str) and (None, 46, 1) in got and (2, 46, 1) in got
+
+
 def test_components(spark):
     """Chains, a hub, repeated and turned links, links of a node with itself; negative ids; no links."""
     links = [(i, i + 1) for i in range(10, 40)] + [(i + 1, i) for i in range(60, 75)] + [(100, 100 + i) for i in range(1, 50)]
