@@ -348,7 +348,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ones meet. Where a gram's pieces have one body, its first document decides. The
     others are put in run-length indexes by shard, each distinct piece once, and
     streamed through them. Only ids, places and hashes are shuffled for all windows;
-    the bytes of open pieces alone follow. Hashes are of 64 bits each, gram and body.
+    the bytes of open pieces alone follow. Of the hashes 40 bits
+    of the gram and 32 of the body are kept, and 10 of what lies to either side; rows
+    that agree in them are settled without comparing bytes.
 
     Null or short text (under MATCH bytes): nothing removed. Null id: neither source
     nor target. Rows that repeat an id should be alike: its spans are those of all.
