@@ -34,16 +34,17 @@ def encoder(path: str):
 
     Its merges make ids in order, so its vocabulary, without the special tokens, is
     a table of ranks; tests hold the ids against the ``tokenizers`` library, which
-    is ten times slower. Special tokens in a text are ordinary text.
+    is ten times slower. A special token that a text spells out is its one id, as
+    that library has it.
     """
     import tiktoken
     from public_tokenizers import PATTERN
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    letters, special = _byte_letters(), {t["content"] for t in spec.get("added_tokens", [])}
+    letters, special = _byte_letters(), {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def token_pieces(
@@ -69,7 +70,7 @@ def token_pieces(
             keys, rows = [], []
             cut = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(encode(text, disallowed_special=()), END_ID).astype("<u4")
+                ids = np.append(encode(text, allowed_special="all"), END_ID).astype("<u4")
                 for start in range(0, len(ids), length):
                     piece = ids[start : start + length]
                     keys.append(key)
@@ -120,67 +121,93 @@ def _knapsack(worth: np.ndarray, room: int) -> tuple[float, np.ndarray]:
     return best[room], pattern
 
 
-def cutting_stock(demand: np.ndarray, gap: float = 1e-3, max_columns: int = 2_000) -> Plan:
+def cutting_stock(demand: np.ndarray, gap: float = 1e-3) -> Plan:
     """Patterns that cover ``demand`` (pieces of class 1..room) with few sequences.
 
     The linear program over patterns is solved by the revised simplex method; the
-    knapsack prices columns until none improves, the best dual bound lies within
-    ``gap``, or ``max_columns`` were priced (any basis is a valid answer). Prices are drawn towards those of the best bound so far, which saves
-    most columns. Patterns are taken rounded down; what is left, a number of pieces
-    that depends on the classes alone, is packed best-fit by decreasing class.
+    knapsack prices columns until none improves, or the best dual bound lies within
+    ``gap``. Prices are drawn towards those of the best bound so far, which saves
+    most columns. Should as many columns as there are classes enter without any
+    gain, the basis at hand is taken; any basis is a valid answer. Patterns are taken
+    rounded down; what is left, a number of pieces that depends on the classes alone,
+    is packed best-fit by decreasing class.
+
+    All sums are elementwise: threaded matrix routines can stall in a process that
+    runs a JVM gateway.
     """
     room = len(demand)
     used = np.flatnonzero(demand)
     if not len(used):
         return Plan(np.zeros((0, room), np.int64), np.zeros(0, np.int64))
     need = demand[used].astype(float)
-    columns = _first_fill(need, used + 1, room)
-    inverse = np.linalg.inv(columns[:, used].T.astype(float))
-    amount = inverse @ need
+    columns, ended = _first_fill(need, used + 1, room)
+    inverse = _triangular_inverse(columns[:, used], ended)
+    amount = (inverse * need).sum(axis=1)
     centre = (used + 1.0) / room  # what a piece is worth by its length: a bound
-    bound = float(need @ centre)
-    for _ in range(max_columns):
+    bound = float((need * centre).sum())
+    least, idle = float(amount.sum()), 0
+    while amount.sum() - bound > gap * amount.sum() and idle <= len(used):
         price = inverse.sum(axis=0)
-        if amount.sum() - bound <= gap * amount.sum():
-            break
         for pull in (0.8, 0.0):
             asked = pull * centre + (1 - pull) * price
             worth = np.full(room, -1.0)
             worth[used] = asked
             value, pattern = _knapsack(worth, room)
-            if need @ asked / value > bound:
-                bound, centre = float(need @ asked / value), asked / value
-            if pattern[used] @ price > 1 + 1e-9:
+            if (need * asked).sum() / value > bound:
+                bound, centre = float((need * asked).sum() / value), asked / value
+            taken = pattern[used]
+            if (taken * price).sum() > 1 + 1e-9:
                 break
         else:
             break
-        step = inverse @ pattern[used]
+        some = np.flatnonzero(taken)
+        step = (inverse[:, some] * taken[some]).sum(axis=1)
         ratio = np.where(step > 1e-9, amount / np.where(step > 1e-9, step, 1), np.inf)
         out = int(np.argmin(ratio))
         move = ratio[out]
         amount -= move * step
         amount[out] = move
         row = inverse[out] / step[out]
-        inverse -= np.outer(step, row)
+        inverse -= step[:, None] * row
         inverse[out] = row
         columns[out] = pattern
+        idle = idle + 1 if amount.sum() > least * (1 - 1e-9) else 0
+        least = min(least, float(amount.sum()))
     times = np.floor(np.maximum(amount, 0) + 1e-9).astype(np.int64)
     keep = times > 0
     columns, times = columns[keep], times[keep]
-    left = demand - times @ columns
+    left = demand - (times[:, None] * columns).sum(axis=0)
     # a pattern may cover more than there is; what lacks leaves room in its last sequences
     rest = _best_fit(np.maximum(left, 0))
     return Plan(np.concatenate([columns, rest]), np.concatenate([times, np.ones(len(rest), np.int64)]))
 
 
-def _first_fill(need: np.ndarray, sizes: np.ndarray, room: int) -> np.ndarray:
-    """As many patterns as classes, which form a basis that covers ``need``.
+def _triangular_inverse(patterns: np.ndarray, ended: np.ndarray) -> np.ndarray:
+    """The inverse of the basis whose column j is pattern j, by substitution.
+
+    No pattern after j has the class that ends with j, so the rows of the basis, in
+    the order in which their classes end, are a lower triangle.
+    """
+    n = len(patterns)
+    lower, solved = patterns[:, ended].T.astype(float), np.zeros((n, n))
+    for i in range(n):
+        before = np.flatnonzero(lower[i, :i])
+        solved[i] = -(lower[i, before, None] * solved[before]).sum(axis=0)
+        solved[i, i] += 1
+        solved[i] /= lower[i, i]
+    out = np.empty((n, n))
+    out[:, ended] = solved
+    return out
+
+
+def _first_fill(need: np.ndarray, sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """As many patterns as classes, which form a basis that covers ``need``, and the class that ends with each.
 
     Each pattern is filled from the largest class that is left, and serves until one
     of its classes is used up; so no later pattern has that class, and the patterns
     are triangular in the order in which classes end.
     """
-    left, out = need.copy(), []
+    left, out, ended = need.copy(), [], []
     alive = np.ones(len(need), bool)
     for _ in range(len(need)):
         pattern, c = np.zeros(room, np.int64), room
@@ -197,7 +224,8 @@ def _first_fill(need: np.ndarray, sizes: np.ndarray, room: int) -> np.ndarray:
         left = np.maximum(left - times[end] * have, 0)
         alive[end] = False
         out.append(pattern)
-    return np.array(out)
+        ended.append(end)
+    return np.array(out), np.array(ended)
 
 
 def _best_fit(left: np.ndarray) -> np.ndarray:
@@ -250,10 +278,10 @@ def pack(pieces: DataFrame, length: int = SEQUENCE, grid: int = GRID, parts: int
 
     ``pieces`` (of ``token_pieces``, or any table with id, start and length) should
     be a stored table: it is read twice. Its lengths, rounded up to ``grid``, form a
-    histogram of at most length / grid classes and ``parts`` parts, which is all
-    that the driver sees. Pieces are ranked within class and part (a hash of the id)
-    by id and start; the histogram turns that to a rank within the class, and the
-    rank to a sequence of a pattern. No class is gathered in one task.
+    histogram of at most length / grid classes and ``parts`` parts; the driver sees
+    the totals of the classes. Pieces are ranked within class and part (a hash of the
+    id) by id and start; the histogram turns that to a rank within the class, and
+    the rank to a sequence of a pattern. No class is gathered in one task.
 
     Empty table: no rows. Repeated rows take a place each. Columns other than
     id, start and length pass through.
@@ -266,28 +294,27 @@ def pack(pieces: DataFrame, length: int = SEQUENCE, grid: int = GRID, parts: int
             "__part": F.pmod(F.xxhash64("id", "start"), F.lit(parts)).cast("int"),
         }
     )
-    counts = np.zeros((room, parts), np.int64)
-    for c, p, n in keyed.groupBy("__class", "__part").count().collect():  # room x parts rows at most
-        counts[c - 1, p] = n
-    plan = cutting_stock(counts.sum(axis=1))
-    place, before = Placer(plan), np.cumsum(counts, axis=1) - counts
-    schema = keyed.drop("__class", "__part").withColumn("sequence_id", F.lit(0).cast("long")).withColumn(
-        "__class", F.lit(0)
-    ).schema
+    counts = table(keyed.groupBy("__class", "__part").agg(F.count("*").alias("__n")), "lengths")
+    demand = np.zeros(room, np.int64)
+    for c, n in counts.groupBy("__class").agg(F.sum("__n")).collect():  # room rows at most
+        demand[c - 1] = n
+    place = Placer(cutting_stock(demand))
+    earlier = Window.partitionBy("__class").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("__class", "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    schema = keyed.drop("__part").withColumn("sequence_id", F.lit(0).cast("long")).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
-            cls, part, rank = (
-                batch.column(names.index(n)).to_numpy(zero_copy_only=False) for n in ("__class", "__part", "__rank")
-            )
-            at = place(cls, rank - 1 + before[cls - 1, part])
-            keep = [n for n in names if n not in ("__class", "__part", "__rank")]
-            arrays = [batch.column(names.index(n)) for n in keep] + [pa.array(at), pa.array(cls, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, [*keep, "sequence_id", "__class"])
+            cls, rank = (batch.column(names.index(n)).to_numpy(zero_copy_only=False) for n in ("__class", "__rank"))
+            keep = [n for n in names if n != "__rank"]
+            arrays = [batch.column(names.index(n)) for n in keep] + [pa.array(place(cls, rank))]
+            yield pa.RecordBatch.from_arrays(arrays, [*keep, "sequence_id"])
 
     within = Window.partitionBy("__class", "__part").orderBy("id", "start")
-    placed = keyed.withColumn("__rank", F.row_number().over(within)).mapInArrow(work, schema)
+    ranked = keyed.withColumn("__row", F.row_number().over(within)).join(before, ["__class", "__part"])
+    ranked = ranked.withColumn("__rank", F.col("__row") - 1 + F.col("__before")).drop("__part", "__row", "__before")
+    placed = ranked.select(*schema.names[:-1], "__rank").mapInArrow(work, schema)
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("__class"), "id", "start")
     return placed.withColumn(
         "offset", F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1))
