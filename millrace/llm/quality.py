@@ -251,7 +251,11 @@ def classify(
     limits = scored.join(ids, "id", "left_semi").groupBy(lang.alias("key")).agg(
         (F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold")
     )
-    return scored.join(limits, lang == F.col("key"), "left").select(
+    # a language may hold most rows: its threshold is laid out once a salt, its rows are dealt by salt
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limits = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = scored.withColumns({"key": lang, "salt": F.pmod(F.xxhash64("id", "perplexity"), F.lit(salts)).cast("int")})
+    return dealt.join(limits, ["key", "salt"], "left").select(
         F.col("id").alias(id_col),
         "lang",
         "perplexity",
