@@ -21,7 +21,7 @@ from millrace.llm.common import blocks, small_batches, whole
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Text bytes whose new words are replayed at once, and words that a worker remembers.
 BLOCK_BYTES, REMEMBERED = 8 << 20, 500_000
-#: Words replayed together, positions merged together, and bytes from which a word is done alone.
+#: Words replayed together and positions merged together; words above so many bytes are replayed merge by merge.
 BATCH_WORDS, WINDOW, LONG_WORD = 100_000, 8192, 400
 _NONE = np.iinfo(np.int32).max
 _BESIDE = re.compile(" [\\s\x85]|[^\\S ] ")
@@ -85,6 +85,9 @@ class Bpe:
         order = np.argsort(np.array(keys, np.int64), kind="stable")
         self.keys = np.array(keys, np.int64)[order]
         self.made = np.array(made, np.int32)[order]
+        parts = np.concatenate([self.keys >> 32, self.keys & 0xFFFFFFFF])
+        self.precedes = np.zeros(size, bool)  # a token that a merge of a lower rank can follow
+        self.precedes[parts[parts > np.concatenate([self.made, self.made])]] = True
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.length = np.fromiter(map(len, self.bytes_of), np.int64, size)
         self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]])
@@ -113,29 +116,32 @@ class Bpe:
         """Ids of all words, in order, and how many each has.
 
         The words form one sequence of linked positions. ``index`` maps a merge (by
-        the id it makes, which is its rank) to the positions of its pairs. Merges
-        leave the index in rank order, WINDOW positions or more at a time; a word
-        takes only its first merge of a window, the leftmost of the lowest rank, and
-        has its others put back. Only the neighbours of what was merged are looked
+        the id that its pairs make, which is its rank) to the positions of its pairs.
+        Merges leave the index in rank order, WINDOW positions or more at a time; a
+        word takes only its lowest merge of a window, at every place from the left
+        that it doesn't overlap (up to one that a lower merge follows), and has its
+        others put back. Only the neighbours of what was merged are looked
         up and indexed again. Words don't touch, so each sees its merges in rank
-        order, as if the corpus had been replayed merge by merge.
+        order, as if the corpus had been replayed merge by merge. Long words have
+        many merges in any window, so theirs is a window of one merge.
         """
         out: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
         for i in range(0, len(words), BATCH_WORDS):
             part = words[i : i + BATCH_WORDS]
-            long = {k: self._alone(w) for k, w in enumerate(part) if len(w) > LONG_WORD}
-            ids, counts = self._replay([b"" if k in long else w for k, w in enumerate(part)] if long else part)
+            long = [k for k, w in enumerate(part) if len(w) > LONG_WORD]
+            ids, counts = self._replay([b"" if len(w) > LONG_WORD else w for w in part] if long else part, WINDOW)
             if long:
                 cut = np.split(ids, np.cumsum(counts)[:-1])
-                for k, own in long.items():
-                    cut[k] = np.array(own, np.int32)
+                own, sized = self._replay([part[k] for k in long], 1)
+                for k, x in zip(long, np.split(own, np.cumsum(sized)[:-1]), strict=True):
+                    cut[k] = x
                 ids, counts = np.concatenate(cut), np.fromiter(map(len, cut), np.int64, len(cut))
             out.append(ids)
             sizes.append(counts)
         return np.concatenate([np.zeros(0, np.int32), *out]), np.concatenate([np.zeros(0, np.int64), *sizes])
 
-    def _replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _replay(self, words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
         lens = np.fromiter(map(len, words), np.int64, len(words))
         n, ends = int(lens.sum()), np.cumsum(lens)
         word = np.repeat(np.arange(len(words), dtype=np.int32), lens)
@@ -156,17 +162,23 @@ class Bpe:
             taken: list[int] = []
             under: list[int] = []
             many: list[int] = []
-            while queue and len(taken) < WINDOW:
+            while queue and len(taken) < window:
                 under.append(heapq.heappop(queue))
                 held = index.pop(under[-1])
                 taken += held
                 many.append(len(held))
             at = np.array(taken, np.int64)
             at = at[rank[at] == np.repeat(np.array(under, np.int32), many)]  # else the pair has changed since
-            at = at[np.lexsort((at, rank[at]))]
-            pick = np.zeros(len(at), bool)
-            pick[np.unique(word[at], return_index=True)[1]] = True
+            at = np.unique(at)
+            own = np.cumsum(np.diff(word[at], prepend=-1) != 0) - 1
+            lowest = np.full(own[-1] + 1 if len(own) else 0, _NONE, np.int32)
+            np.minimum.at(lowest, own, rank[at])
+            pick = rank[at] == lowest[own]
             back, at = at[~pick], at[pick]
+            free = self._apart(at, nxt)
+            back, at = np.concatenate([back, at[~free]]), at[free]
+            free = self._undisturbed(at, tok, nxt, prv, rank, word)
+            back, at = np.concatenate([back, at[~free]]), at[free]
             right = nxt[at]
             after = nxt[right]
             tok[at], tok[right] = rank[at], -1
@@ -189,26 +201,30 @@ class Bpe:
         alive = np.concatenate([[0], np.cumsum(tok >= 0)])
         return tok[tok >= 0], alive[ends] - alive[ends - lens]
 
-    def _alone(self, word: bytes) -> list[int]:
-        """One word with a queue of (rank, position)."""
-        ranks, n = self.ranks, len(word)
-        part: list[bytes | None] = [word[i : i + 1] for i in range(n)]
-        nxt, prv = [*range(1, n), -1], [*range(-1, n - 1)]
-        queue = [(r, i, part[i], part[i + 1]) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
-        heapq.heapify(queue)
-        while queue:
-            _, i, a, b = heapq.heappop(queue)
-            j = nxt[i]
-            if part[i] != a or j < 0 or part[j] != b:
-                continue
-            part[i], part[j] = a + b, None
-            nxt[i] = nxt[j]
-            if nxt[i] >= 0:
-                prv[nxt[i]] = i
-            for x in (prv[i], i):
-                if x >= 0 and nxt[x] >= 0 and (r := ranks.get(part[x] + part[nxt[x]])) is not None:
-                    heapq.heappush(queue, (r, x, part[x], part[nxt[x]]))
-        return [ranks[p] for p in part if p is not None]
+    @staticmethod
+    def _apart(at: np.ndarray, nxt: np.ndarray) -> np.ndarray:
+        """Which of these positions, in order, begin pairs that don't overlap: each second one of a chain."""
+        chained = np.zeros(len(at), bool)
+        chained[1:] = nxt[at[:-1]] == at[1:]
+        place = np.arange(len(at))
+        head = np.maximum.accumulate(np.where(chained, 0, place))
+        return (place - head) % 2 == 0
+
+    def _undisturbed(self, at, tok, nxt, prv, rank, word) -> np.ndarray:
+        """Which of these merges of a word have none before them that makes a pair of a lower rank."""
+        made = rank[at]
+        maybe = self.precedes[made]
+        if not maybe.any():
+            return np.ones(len(at), bool)
+        after, before = nxt[nxt[at]], prv[at]
+        touching = np.zeros(len(at), bool)
+        touching[1:] = nxt[at[:-1]] == before[1:]
+        left = np.where(touching, made, tok[before])
+        lower = maybe & (before >= 0) & (self.pair(left, made) < made)
+        lower |= maybe & (after >= 0) & (self.pair(made, tok[after]) < made)
+        seen = np.cumsum(lower) - lower
+        first = np.flatnonzero(np.diff(word[at], prepend=-1))
+        return seen == np.repeat(seen[first], np.diff(np.append(first, len(at))))
 
     def encode(self, texts: list[str], part: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each ``part`` texts: their ids in a row, and how many each text has.
