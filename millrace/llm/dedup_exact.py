@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import table, whole
 
-#: The salt of a row is one bit of a long, so that a group's salts fit in a mask.
-MAX_SALTS = 64
+#: The least number of salts; with more shuffle partitions there are as many as these.
+SALTS = 64
 
 
 def normalised(text: str) -> Column:
@@ -26,7 +26,7 @@ def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    salts: int = MAX_SALTS,
+    salts: int | None = None,
     digest: Callable[[Column], Column] = sha256_of,
 ) -> DataFrame:
     """One row per row of ``docs``: its id, and the group of equal texts it is in.
@@ -35,7 +35,7 @@ def exact_dedup(
 
     1. Each task combines its equal (digest, salt, text) rows: the aggregate's
        map-side half. A group that holds a third of all rows is cut to ``salts``
-       parts by a hash of the id.
+       parts by a hash of the id: SALTS, or spark.sql.shuffle.partitions if more.
     2. The parts meet by (digest, salt, text).
     3. The winners of the salts meet by (digest, text): at most ``salts`` rows a
        group.
@@ -50,8 +50,8 @@ def exact_dedup(
     id and a text are rows of one document and get the same answer. Empty table:
     no rows. Other columns are ignored.
     """
-    if not 1 <= salts <= MAX_SALTS:
-        raise ValueError(f"salts must lie in 1..{MAX_SALTS}")
+    if salts is None:
+        salts = max(SALTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("norm")).select(
         "id",
         "norm",
@@ -81,22 +81,20 @@ def exact_dedup(
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """(digest, norm, keep_id, group_size, mask of salts, text_sha256) per text."""
+    """(digest, norm, keep_id, group_size, salts, text_sha256) per text."""
     parts = rows.groupBy("digest", "salt", "norm").agg(
         F.min("id").alias("keep_id"), F.count("*").alias("group_size")
     )
     return parts.groupBy("digest", "norm").agg(
         F.min("keep_id").alias("keep_id"),
         F.sum("group_size").alias("group_size"),
-        F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"),
+        F.collect_list("salt").alias("salts"),
     ).withColumn("text_sha256", F.sha2("norm", 256))
 
 
 def _members(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Every row with its group; a group has a row for each of its salts."""
-    spread = groups.withColumn(
-        "salt", F.explode(F.expr(f"filter(sequence(0, {MAX_SALTS - 1}), s -> (shiftright(mask, s) & 1L) = 1L)"))
-    ).drop("mask")
+    spread = groups.withColumn("salt", F.explode("salts")).drop("salts")
     return rows.select("id", *keys).join(spread, keys).select("id", "keep_id", "group_size", "text_sha256")
 
 
