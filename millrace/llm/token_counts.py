@@ -82,7 +82,7 @@ class TokenRollup:
         self._fs.mkdirs(self._path(f"{self.folder}/commits"))
 
     def committed(self, batch_id: str) -> bool:
-        return self._fs.exists(self._path(self._commit(batch_id))) or quote(batch_id, safe="") in self._compacted()
+        return self._fs.exists(self._path(self._commit(batch_id))) or self._folded(self._base(), quote(batch_id, safe=""))
 
     def apply(self, batch_id: str, changes: DataFrame) -> bool:
         """Add the batch to the totals; False if it was committed before."""
@@ -105,8 +105,8 @@ class TokenRollup:
             return
         staged = f"{self.folder}/staged/{uuid.uuid4().hex}"
         _summed(self._read(commits + ([base] if base else []))).write.parquet(staged)
-        names = sorted({*self._compacted(), *(c.rsplit("/", 1)[1] for c in commits)})
-        self.spark.createDataFrame([(n,) for n in names], "batch string").coalesce(1).write.parquet(f"{staged}/_batches")
+        names = self.spark.createDataFrame([(c.rsplit("/", 1)[1],) for c in commits], "batch string")
+        (names if base is None else names.unionByName(self._batches(base))).write.parquet(f"{staged}/_batches")
         version = int(base.rsplit("-", 1)[1]) + 1 if base else 1
         if self._publish(staged, f"{self.folder}/base-{version}"):
             for old in [*commits, *([base] if base else [])]:
@@ -125,16 +125,23 @@ class TokenRollup:
         return sorted(str(s.getPath()) for s in self._fs.listStatus(self._path(folder)) if s.isDirectory())
 
     def _commits(self) -> list[str]:
-        done = self._compacted()
-        return [c for c in self._list(f"{self.folder}/commits") if c.rsplit("/", 1)[1] not in done]
+        found, base = self._list(f"{self.folder}/commits"), self._base()
+        if not base or not found:
+            return found
+        # only a compaction that was cut off leaves commits behind that its base holds
+        names = [c.rsplit("/", 1)[1] for c in found]
+        done = {r[0] for r in self._batches(base).where(F.col("batch").isin(names)).collect()}
+        return [c for c, n in zip(found, names, strict=True) if n not in done]
 
     def _base(self) -> str | None:
         bases = [p for p in self._list(self.folder) if p.rsplit("/", 1)[1].startswith("base-")]
         return max(bases, key=lambda p: int(p.rsplit("-", 1)[1]), default=None)
 
-    def _compacted(self) -> set[str]:
-        base = self._base()
-        return {r[0] for r in self.spark.read.parquet(f"{base}/_batches").collect()} if base else set()
+    def _batches(self, base: str) -> DataFrame:
+        return self.spark.read.schema("batch string").parquet(f"{base}/_batches")
+
+    def _folded(self, base: str | None, name: str) -> bool:
+        return base is not None and not self._batches(base).where(F.col("batch") == name).isEmpty()
 
     def _publish(self, staged: str, target: str) -> bool:
         if self._fs.exists(self._path(target)) or not self._fs.rename(self._path(staged), self._path(target)):
