@@ -22,14 +22,17 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the session names none (tests on one machine), a temporary folder of
-    this machine is set as the checkpoint folder and used.
+    Where the session names none and runs on one machine (as in tests), a temporary
+    folder of this machine is set as the checkpoint folder and used. On a cluster
+    that is an error, as executors would lose what they write.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         known = spark.sparkContext.getCheckpointDir()
         if known:
             return known.rstrip("/")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         base = "file://" + tempfile.mkdtemp(prefix="millrace-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
@@ -68,6 +71,12 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(stored: DataFrame) -> None:
+    """Delete a table that ``table`` wrote and nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+        _remove(stored.sparkSession, path)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hold Arrow batches to few rows, as whole texts pass through them."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
@@ -92,28 +101,24 @@ def blocks(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a long, b long) by large-star and small-star.
 
     Returns (node, component): a row for each node that has an edge to another
     node, with the smallest node that it can reach. Every round is written as a
-    table; nothing but the count and a digest of its links reaches the driver, and
-    the rounds end when these stay as they are. Hubs are never gathered: the stars
+    table, and dropped when the next one is; nothing but the count and a digest of its
+    links reaches the driver, and the rounds end when these stay as they are. Hubs are never gathered: the stars
     are joins on node and its minimum.
     """
     links = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     ).distinct()
     links = table(links, "links-0")
-    before = _digest(links)
-    for k in range(1, max_rounds + 1):
-        links = table(_star(_star(links, larger=True), larger=False), f"links-{k}")
-        after = _digest(links)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError("components did not settle")
+    before, after = None, _digest(links)
+    while after != before:
+        last, links = links, table(_star(_star(links, larger=True), larger=False), "links")
+        drop(last)
+        before, after = after, _digest(links)
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
