@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import heapq
 import io
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import drop, table
 
-SHARD_ROWS, LEAF_ROWS, BLOCK_QUERIES = 8192, 128, 1024
+#: Vectors of a tree and of its leaves, queries that meet a tree at once, and root boxes that queries meet at once.
+SHARD_ROWS, LEAF_ROWS, BLOCK_QUERIES, BLOCK_ROOTS = 8192, 128, 8192, 4096
+#: Rows whose medians cut the space to cells, and the least of them in a cell.
+SAMPLE_ROWS, CELL_SAMPLE = 20_000, 8
 
 
 def quantised(vector: Column, scale: float = 1024.0) -> Column:
@@ -77,7 +81,6 @@ class KdTree:
         Boxes are visited by their upper bound. ``floor`` is a (score, id) that k
         others are known to reach: what is worse than that isn't sought.
         """
-        bounds = np.maximum(self.low * query, self.high * query).sum(axis=1)
         best: list[tuple[int, int]] = []  # a heap of (score, -id), the worst at its top
 
         def worst() -> tuple[int, int] | None:
@@ -85,18 +88,21 @@ class KdTree:
             given = (floor[0], -floor[1]) if floor else None
             return max(known, given) if known and given else known or given
 
-        queue = [(-int(bounds[0]), 0)]
+        def bound(at: int) -> int:
+            return int(np.maximum(self.low[at] * query, self.high[at] * query).sum())
+
+        queue = [(-bound(0), 0)]
         while queue:
-            bound, at = heapq.heappop(queue)
+            least, at = heapq.heappop(queue)
             limit = worst()
             if limit:
-                if -bound < limit[0]:
+                if -least < limit[0]:
                     break
-                if (-bound, -int(self.least[at])) < limit:
+                if (-least, -int(self.least[at])) < limit:
                     continue
             if self.child[at][0] >= 0:
                 for c in self.child[at].tolist():
-                    heapq.heappush(queue, (-int(bounds[c]), c))
+                    heapq.heappush(queue, (-bound(c), c))
                 continue
             start, end = self.span[at]
             scores, ids = self.vectors[start:end] @ query, self.ids[start:end]
@@ -115,6 +121,37 @@ class KdTree:
         return [(s, -i) for s, i in sorted(best, reverse=True)]
 
 
+class Cells:
+    """A cut of space by medians of a sample: a tree of (axis, value) for each length of vectors."""
+
+    def __init__(self, sample: list[tuple[int, list[int]]], depth: int):
+        self.cuts: dict[int, list[tuple[int, int]]] = {}
+        for dim in {d for d, _ in sample}:
+            own = np.array([v for d, v in sample if d == dim], np.int64).reshape(-1, dim)
+            self.cuts[dim] = []
+            parts = [own]
+            for _ in range(depth):
+                after = []
+                for part in parts:
+                    wide = part.max(axis=0) - part.min(axis=0) if len(part) and dim else np.zeros(1, np.int64)
+                    axis = int(np.argmax(wide))
+                    at = int(np.partition(part[:, axis], len(part) // 2)[len(part) // 2]) if len(part) and dim else 0
+                    self.cuts[dim].append((axis, at))
+                    after += [part[part[:, axis] < at], part[part[:, axis] >= at]] if dim else [part, part]
+                parts = after
+        self.depth = depth
+
+    def __call__(self, dim: int, vectors: np.ndarray) -> np.ndarray:
+        """The number of each vector's cell; a length that the sample lacks has one cell."""
+        at = np.zeros(len(vectors), np.int64)
+        if dim not in self.cuts or not self.cuts[dim] or not dim:
+            return at
+        axis, value = np.array(self.cuts[dim], np.int64).T
+        for _ in range(self.depth):
+            at = 2 * at + 1 + (vectors[np.arange(len(at)), axis[at]] >= value[at])
+        return at - len(axis)
+
+
 def exact_top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -123,86 +160,158 @@ def exact_top_k(
     vector_col: str = "embedding",
     shard_rows: int = SHARD_ROWS,
     block_queries: int = BLOCK_QUERIES,
+    block_roots: int = BLOCK_ROOTS,
 ) -> DataFrame:
     """(query_id, rank, ``id_col``, score): each query's k highest inner products.
 
     Both tables hold ``id_col`` and ``vector_col``, an array of longs (``quantised``);
-    rows with a null id or vector take no part. Vectors are dealt to shards by a hash
-    of the id, about ``shard_rows`` each, and each shard becomes one tree, stored in
-    the shared folder. A query is first sought in one shard; the kth score it finds
-    there goes along to all others, where boxes below it are never opened. Queries
-    meet trees in blocks of ``block_queries``, so no task holds more than one tree and
-    one block. Equal scores: the smaller id. Vectors meet queries of their own length
-    only. Repeated rows are several candidates with one id. Fewer than k candidates:
-    all. No queries or no vectors: no rows. Scores must fit a long.
+    rows with a null id or vector take no part.
+
+    1. Medians of SAMPLE_ROWS rows (those of least hash) cut space to cells; a cell of
+       more than ``shard_rows`` vectors is dealt on by a hash of the id, so a hot
+       vector makes many shards. Each shard becomes one tree, stored in the shared
+       folder.
+    2. Queries meet the shards' root boxes, in blocks of both, and each is first
+       sought in the shard of the highest bound.
+    3. The kth score it finds there goes along: queries meet the root boxes again,
+       and only shards whose bound reaches it are sent the query.
+
+    A task holds one tree and ``block_queries`` queries, or as many and
+    ``block_roots`` boxes. Equal scores: the smaller id. Vectors meet queries of their
+    own length only. Repeated query rows (id and vector) are one query; an id with
+    two vectors is two queries. Repeated rows of ``vectors`` are several candidates
+    with one id. Fewer than k candidates: all. No queries or no vectors: no rows.
+    Scores must fit a long.
     """
     spark = vectors.sparkSession
-    base = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
-    asked = queries.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
-    shards = max(1, -(-base.count() // shard_rows))
-    n_blocks = max(1, -(-asked.count() // block_queries))
-    home = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
-    dealt = base.select("id", "v", F.size("v").alias("dim"), home.alias("shard"))
-    trees = table(
-        dealt.groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, tree binary"), "trees"
+    fine = "id IS NOT NULL AND v IS NOT NULL"
+    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(fine)
+    asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(fine)
+    n = base.count()
+    asked = asked.select("id", "v", F.size("v").alias("dim"), F.xxhash64("v").alias("which")).distinct()
+    asked = table(asked.withColumn("draw", F.xxhash64("id", "which")), "queries")
+    blocks = max(1, -(-asked.count() // block_queries))
+    sample = [(len(r["v"]), r["v"]) for r in base.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).collect()]
+    depth = max(0, min((n // shard_rows).bit_length(), (len(sample) // CELL_SAMPLE).bit_length() - 1))
+    celled = table(base.mapInArrow(_celled(Cells(sample, depth)), "id bigint, v array<bigint>, dim int, cell bigint"), "cells")
+    several = celled.groupBy("dim", "cell").agg(F.ceil(F.count("*") / shard_rows).cast("long").alias("several"))
+    dealt = celled.join(several, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), "several"))
+    trees = dealt.select("dim", F.xxhash64("dim", "cell", "part").alias("shard"), "id", "v")
+    trees = trees.groupBy("dim", "shard").applyInArrow(
+        _build, "dim int, shard bigint, tree binary, low array<bigint>, high array<bigint>, least bigint"
     )
-    block = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(n_blocks)).cast("int")
-    asked = asked.select("id", "v", F.size("v").alias("dim"), home.alias("home"), block.alias("block"))
-    each_block = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    found = "id bigint, cand bigint, score bigint, dim int, home int, block int, v array<bigint>"
+    trees = table(trees, "trees")
+    drop(celled)
+    groups = max(1, -(-trees.count() // block_roots))
+    roots = trees.select("dim", "shard", "low", "high", "least", F.pmod("shard", F.lit(groups)).cast("int").alias("part"))
+    roots = roots.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def shards_for(q: DataFrame, first: bool) -> DataFrame:
+        """(id, which, shard, bound): the best shard of each group of boxes, or all that reach the floor."""
+        q = q.withColumn("block", F.pmod("draw", F.lit(blocks)).cast("int"))
+        q = q.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        keys = ["dim", "part", "block"]
+        return q.groupBy(*keys).cogroup(roots.groupBy(*keys)).applyInArrow(_bounded(first), "id bigint, which bigint, shard bigint, bound bigint")
 
     def meet(q: DataFrame) -> DataFrame:
-        keys = ["dim", "shard", "block"]
-        return q.groupBy(*keys).cogroup(each_block.groupBy(*keys)).applyInArrow(_search(k), found)
+        """(id, which, cand, score) of queries (with a shard each) and the trees of their shards."""
+        many = q.groupBy("shard").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("many"))
+        q = q.join(many, "shard").withColumn("block", F.pmod("draw", "many").cast("int")).drop("many")
+        copies = trees.select("shard", "tree").join(many, "shard").withColumn("block", F.explode(F.expr("sequence(0, many - 1)")))
+        keys = ["shard", "block"]
+        found = q.groupBy(*keys).cogroup(copies.drop("many").groupBy(*keys))
+        return found.applyInArrow(_search(k), "id bigint, which bigint, cand bigint, score bigint")
 
     none = F.lit(None).cast("bigint")
-    first = table(meet(asked.withColumn("shard", F.col("home")).withColumns({"fs": none, "fi": none})), "home-hits")
-    kth = first.groupBy("id", "home").agg(
+    best = shards_for(asked.withColumns({"fs": none, "fi": none}), True)
+    home = table(best.groupBy("id", "which").agg(F.max_by("shard", F.struct("bound", "shard")).alias("shard")), "homes")
+    first = table(meet(asked.join(home, ["id", "which"]).withColumns({"fs": none, "fi": none})), "home-hits")
+    kth = first.groupBy("id", "which").agg(
         F.count("cand").alias("n"), F.max(F.struct((-F.col("score")).alias("s"), F.col("cand").alias("c"))).alias("w")
     )
-    rest = (
-        asked.join(kth, ["id", "home"], "left")
-        .withColumns(
-            {
-                "fs": F.when(F.col("n") >= k, -F.col("w.s")),
-                "fi": F.when(F.col("n") >= k, F.col("w.c")),
-                "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))),
-            }
-        )
-        .where("shard <> home")
-        .drop("n", "w")
+    floor = asked.join(kth, ["id", "which"], "left").withColumns(
+        {"fs": F.when(F.col("n") >= k, -F.col("w.s")), "fi": F.when(F.col("n") >= k, F.col("w.c"))}
     )
-    hits = first.unionByName(meet(rest)).where("cand IS NOT NULL")
-    by = Window.partitionBy("id").orderBy(F.desc("score"), "cand")
-    ranked = hits.select("id", "cand", "score").withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+    floor = floor.drop("n", "w")
+    others = shards_for(floor, False).select("id", "which", "shard").join(home, ["id", "which", "shard"], "left_anti")
+    hits = first.unionByName(meet(floor.join(others, ["id", "which"])))
+    by = Window.partitionBy("id", "which").orderBy(F.desc("score"), "cand")
+    ranked = hits.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
     return ranked.select(F.col("id").alias("query_id"), "rank", F.col("cand").alias(id_col), "score")
 
 
+def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    flat = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]
+    return np.concatenate([np.zeros(0, np.int64), *flat]).astype(np.int64).reshape(-1, dim) if dim else np.zeros((len(column), 0), np.int64)
+
+
+def _celled(cells: Cells):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(1).value_lengths().to_numpy()
+            cell = np.zeros(len(dims), np.int64)
+            for dim in np.unique(dims).tolist():
+                mine = np.flatnonzero(dims == dim)
+                cell[mine] = cells(dim, _matrix(pa.chunked_array([batch.column(1).take(pa.array(mine))]), dim))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(dims, pa.int32()), pa.array(cell)], ["id", "v", "dim", "cell"]
+            )
+
+    return work
+
+
 def _build(group: pa.Table) -> pa.Table:
-    group = group.combine_chunks()
     dim = group.column("dim")[0].as_py()
-    flat = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    tree = KdTree.build(group.column("id").to_numpy(), flat.reshape(-1, dim).astype(np.int64))
+    tree = KdTree.build(group.column("id").to_numpy(), _matrix(group.column("v"), dim))
+    box = pa.list_(pa.int64())
     return pa.table(
         {
             "dim": pa.array([dim], pa.int32()),
             "shard": group.column("shard").slice(0, 1),
             "tree": pa.array([tree.dump()], pa.binary()),
+            "low": pa.array([tree.low[0]], box),
+            "high": pa.array([tree.high[0]], box),
+            "least": pa.array([int(tree.least[0])], pa.int64()),
         }
     )
 
 
+def _bounded(first: bool):
+    """Queries against root boxes: each query's highest bound, or every box that may hold one of its best."""
+
+    def work(queries: pa.Table, roots: pa.Table) -> pa.Table:
+        out: list[np.ndarray] = [np.zeros((4, 0), np.int64)]
+        if queries.num_rows and roots.num_rows:
+            dim = queries.column("dim")[0].as_py()
+            low, high = _matrix(roots.column("low"), dim), _matrix(roots.column("high"), dim)
+            shard, least = roots.column("shard").to_numpy(), roots.column("least").to_numpy()
+            key, which = queries.column("id").to_numpy(), queries.column("which").to_numpy()
+            floor, limit = queries.column("fs").to_pylist(), queries.column("fi").to_pylist()
+            for i, q in enumerate(_matrix(queries.column("v"), dim)):
+                bound = np.maximum(low * q, high * q).sum(axis=1)
+                if first:
+                    at = np.array([np.argmax(bound)])
+                elif floor[i] is None:
+                    at = np.arange(len(bound))
+                else:
+                    at = np.flatnonzero((bound > floor[i]) | ((bound == floor[i]) & (least < limit[i])))
+                out.append(np.stack([np.full(len(at), key[i]), np.full(len(at), which[i]), shard[at], bound[at]]))
+        found = np.concatenate(out, axis=1)
+        return pa.table({n: pa.array(np.ascontiguousarray(x)) for n, x in zip(("id", "which", "shard", "bound"), found, strict=True)})
+
+    return work
+
+
 def _search(k: int):
     def work(queries: pa.Table, trees: pa.Table) -> pa.Table:
-        out: dict[str, list] = {n: [] for n in ("id", "cand", "score", "dim", "home", "block", "v")}
+        out: dict[str, list] = {n: [] for n in ("id", "which", "cand", "score")}
         tree = KdTree.load(trees.column("tree")[0].as_py()) if trees.num_rows and queries.num_rows else None
         for q in queries.to_pylist() if tree else []:
             floor = None if q["fs"] is None else (q["fs"], q["fi"])
             for score, cand in tree.search(np.array(q["v"], np.int64), q["id"], k, floor):
-                for n, x in (("id", q["id"]), ("cand", cand), ("score", score), ("dim", q["dim"]), ("home", q["home"]), ("block", q["block"]), ("v", None)):
+                for n, x in (("id", q["id"]), ("which", q["which"]), ("cand", cand), ("score", score)):
                     out[n].append(x)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
-        return pa.table({n: pa.array(x, t) for (n, x), t in zip(out.items(), kinds, strict=True)})
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in out.items()})
 
     return work
 

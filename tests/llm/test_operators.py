@@ -240,8 +240,15 @@ def test_top_k(spark):
     plain = [(r["vec_id"], r["embedding"]) for r in vectors.collect() if r["embedding"] is not None]
     assert len(plain) == 380
     queries = vectors.where("vec_id % 20 = 0")
-    got = {tuple(r) for r in knn.exact_top_k(vectors, queries, 10, shard_rows=60, block_queries=7).collect()}
+    got = {tuple(r) for r in knn.exact_top_k(vectors, queries, 10, shard_rows=60, block_queries=7, block_roots=3).collect()}
     assert got == brute(plain, [(i, v) for i, v in plain if i % 20 == 0], 10)
+    again = queries.unionByName(queries).unionByName(queries.where("vec_id = 20"))
+    rows = knn.exact_top_k(vectors, again, 10, shard_rows=6).collect()
+    assert {tuple(r) for r in rows} == got and len(rows) == len(got)
+    mixed = vectors.unionByName(vectors.select((F.col("vec_id") + 2000).alias("vec_id"), "id", F.slice("embedding", 1, 3).alias("embedding")))
+    plain = [(r["vec_id"], r["embedding"]) for r in mixed.collect() if r["embedding"] is not None]
+    got = {tuple(r) for r in knn.exact_top_k(mixed, mixed.where("vec_id % 40 = 0"), 10, shard_rows=50).collect()}
+    assert got == brute(plain, [(i, v) for i, v in plain if i % 40 == 0], 10)
     few = vectors.where("vec_id < 4")
     assert knn.exact_top_k(few, few, 10).count() == 12
     assert knn.exact_top_k(vectors.limit(0), queries.limit(0)).count() == 0
