@@ -10,13 +10,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import release, small_batches, table, whole
+from millrace.llm.common import blocks, release, small_batches, table, whole
 
 #: Bytes of a match, and of the gram by whose hash windows find each other.
 MATCH, GRAM = 50, 20
 _REACH, _SIDE = MATCH - GRAM + 1, (MATCH - GRAM) // 2
 #: Positions hashed at once (below 2^16), bytes of an index, pieces of a gram beyond which they are split.
 SEGMENT, INDEX_BYTES, CROWD = 60_000, 2 << 20, 20_000
+#: Bytes of text whose equal pieces are combined before they are dealt.
+BLOCK_BYTES = 4 << 20
+#: Symbols by which suffixes are sorted at first; then by twice as many each time.
+_FIRST = 7
 _U = np.uint64
 
 
@@ -54,16 +58,16 @@ class _Rolling:
         return _mixed((self.sums[end] - self.sums[start]) * _DOWN[self.which][start] + (end - start).astype(_U))
 
 
-def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The windows of MATCH bytes by their least gram, as two packed longs a piece.
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of MATCH bytes by their least gram, as three longs a piece.
 
     Consecutive windows whose least gram hash (the leftmost, of equals) is the same
     gram form a piece. Equal windows have the same gram at the same place, so they
     meet under its hash. Such windows reach _SIDE bytes or more beyond the gram to the
     left or to the right, so pieces with one in common agree in a hash of that side.
-    First long: 40 bits of the gram's hash, 24 of the piece's. Second: 8 more of the
-    piece's, 10 each of the left and right sides' (0: no window reaches so far), 5 for
-    the windows less one, 31 for the start.
+    First long: the gram's hash. Second: the piece's, by other values. Third: 10 bits
+    each of the left and right sides' (0: no window reaches so far), 5 for the
+    windows less one, 31 for the start.
     """
     out: list[tuple[np.ndarray, ...]] = []
     for base in range(0, len(data) - MATCH + 1, SEGMENT):
@@ -82,11 +86,10 @@ def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left[where - starts < _SIDE] = 0
         right = second(where + GRAM, np.minimum(where + GRAM + _SIDE, len(part))) % _U(1023) + _U(1)
         right[where - ends + 1 > _REACH - 1 - _SIDE] = 0
-        one = gram[where] >> _U(24) << _U(24) | body >> _U(40)
-        two = (body & _U(0xFF)) << _U(56) | left << _U(46) | right << _U(36) | (ends - starts - 1).astype(_U) << _U(31)
-        out.append((one, two | (starts + base).astype(_U)))
+        rest = left << _U(46) | right << _U(36) | (ends - starts - 1).astype(_U) << _U(31) | (starts + base).astype(_U)
+        out.append((gram[where], body, rest))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(x).view(np.int64) for x in zip(*out, strict=True))
 
 
@@ -101,42 +104,42 @@ class RunLengthIndex:
 
     def __init__(self, texts: list[bytes], owners: np.ndarray):
         lens = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        self.ends = np.cumsum(lens) - 1
-        text = np.zeros(int(lens.sum()), np.int64)
-        inside = np.ones(len(text), bool)
-        inside[self.ends] = False
+        ends = np.cumsum(lens) - 1
+        n = int(lens.sum())
+        text = np.zeros(n, np.int64)
+        inside = np.ones(n, bool)
+        inside[ends] = False
         text[inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
-        n = len(text)
-        rank = np.where(inside, text + len(texts), np.cumsum(~inside) - 1)
-        depth, agree = 1, None
+        to_mark = np.repeat(ends, lens) - np.arange(n)
+        key = np.zeros(n, np.int64)
+        for i in range(_FIRST):  # so many symbols of 9 bits, none beyond a mark
+            key[: n - i] |= np.where(to_mark[: n - i] >= i, text[i:], 0) << (9 * (_FIRST - 1 - i))
+        depth, agree = _FIRST, None
         while True:
+            order, rank = _ranked(key, to_mark < depth)
+            if depth == 4 * _FIRST:
+                agree = rank  # two suffixes agree in MATCH bytes if in so many, and again up to the last of them
+            if depth >= 4 * _FIRST and (depth > to_mark.max() or len(np.unique(rank)) == n):
+                break
             key = rank << 32
-            key[:-depth] |= rank[depth:] + 1
-            order = np.argsort(key, kind="stable")
-            new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-            rank = np.empty(n, np.int64)
-            rank[order] = new
+            key[: n - depth] |= np.where(to_mark[: n - depth] >= depth, rank[depth:] + 1, 0)
             depth *= 2
-            if depth == 32:
-                agree = rank  # two suffixes agree in 50 bytes if in 32, and in 32 from the 18th on
-            if depth >= 32 and new[-1] == n - 1:
-                break
         suffix = order
-        later = np.minimum(suffix + MATCH - 32, n - 1)
+        later = np.minimum(suffix + MATCH - 4 * _FIRST, n - 1)
         same = (agree[suffix][1:] == agree[suffix][:-1]) & (agree[later][1:] == agree[later][:-1])
         owner = np.repeat(owners, lens)[suffix]
-        self.range_of = np.concatenate([[0], np.cumsum(~same)])
-        self.least = np.minimum.reduceat(owner, np.flatnonzero(np.concatenate([[True], ~same])))
+        self.range_start = np.flatnonzero(np.concatenate([[True], ~same]))
+        self.least = np.minimum.reduceat(owner, self.range_start)
         bwt = np.where(suffix > 0, text[suffix - 1], 0)
         self.run_start = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
-        self.symbol = bwt[self.run_start]
+        symbol = bwt[self.run_start]
         length = np.diff(np.append(self.run_start, n))
+        self.size = n
         self.run_end_sample = suffix[self.run_start + length - 1]
-        by = np.argsort(self.symbol, kind="stable")
-        before = np.empty(len(by), np.int64)
-        before[by] = np.cumsum(length[by]) - length[by]
+        by = np.argsort(symbol, kind="stable")
+        self.target = np.empty(len(by), np.int64)
         # the marks come first and are told apart by their text, so their runs aren't followed
-        self.target = before
+        self.target[by] = np.cumsum(length[by]) - length[by]
 
     @property
     def runs(self) -> int:
@@ -147,15 +150,27 @@ class RunLengthIndex:
         run = np.searchsorted(self.run_start, at, "right") - 1
         return self.target[run] + at - self.run_start[run]
 
+    def locate(self, at: np.ndarray) -> np.ndarray:
+        """Where the suffixes of these ranks start in the texts: steps back to a run's end, and its sample."""
+        out, open_, at = np.zeros(len(at), np.int64), np.arange(len(at)), at.copy()
+        steps = 0
+        while len(open_):
+            run = np.searchsorted(self.run_start, at, "right") - 1
+            end = np.append(self.run_start[1:], self.size)[run] - 1 == at
+            out[open_[end]] = self.run_end_sample[run[end]] + steps
+            open_, at = open_[~end], self.target[run[~end]] + at[~end] - self.run_start[run[~end]]
+            steps += 1
+        return out
+
     def earlier(self, owners: np.ndarray, lens: np.ndarray) -> list[np.ndarray]:
         """For each text, at each window, whether an owner less than its own has the window.
 
         All texts are streamed from their ends at once: a step back leads from a
-        suffix's rank to that of the longer suffix, whose range tells its match.
+        suffix's rank to that of the longer suffix. A matching statistic of MATCH or
+        more with an earlier owner is one whose range has a lesser owner.
         """
         # the suffix of a mark alone has the rank of its text's place among the texts
         at = np.arange(len(lens))
-        out = [np.zeros(max(0, n - MATCH + 1), bool) for n in lens.tolist()]
         flat = np.zeros((len(lens), int(lens.max(initial=0)) + 1), bool)
         alive = np.arange(len(lens))
         for step in range(1, int(lens.max(initial=0)) + 1):
@@ -163,10 +178,27 @@ class RunLengthIndex:
             alive, at = alive[fit], at[fit]
             at = self.back(at)
             if step >= MATCH:
-                flat[alive, lens[alive] - step] = self.least[self.range_of[at]] < owners[alive]
-        for i, n in enumerate(lens.tolist()):
-            out[i] = flat[i, : max(0, n - MATCH + 1)]
-        return out
+                range_ = np.searchsorted(self.range_start, at, "right") - 1
+                flat[alive, lens[alive] - step] = self.least[range_] < owners[alive]
+        return [flat[i, : max(0, n - MATCH + 1)] for i, n in enumerate(lens.tolist())]
+
+
+def _ranked(key: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``key`` and each place's rank in it; equal keys share one, but for ``whole`` places, which go by place."""
+    order = np.argsort(key)
+    sorted_ = key[order]
+    start = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    size = np.diff(np.append(start, len(key)))
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.repeat(start, size)
+    tied = np.flatnonzero(whole & (np.repeat(size, size)[rank] > 1)) if len(start) < len(key) else np.zeros(0, np.int64)
+    if len(tied):
+        tied = tied[np.argsort(rank[tied], kind="stable")]  # by rank, then place
+        first = np.flatnonzero(np.concatenate([[True], rank[tied][1:] != rank[tied][:-1]]))
+        offset = np.arange(len(tied)) - np.repeat(first, np.diff(np.append(first, len(tied))))
+        rank[tied] += offset
+        order[rank[tied]] = tied
+    return order, rank
 
 
 def _stretches(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -176,16 +208,59 @@ def _stretches(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    """The pieces of all texts; those that an earlier document of a block has come as settled stretches.
+
+    A piece leaves a block from the first of its documents there alone, so a piece that
+    a third of all documents hold is a row a block. A stretch is a row whose third
+    long is negative: -1 - its start; the second is its end, the first a hash to
+    deal it by.
+    """
+    for block in blocks(batches, BLOCK_BYTES):
         keys, found = [], []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for key, text in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True):
             data = np.frombuffer(text.encode(), np.uint8)
             if len(data) >= MATCH:
                 found.append(pieces(data))
-                keys.append(np.full(len(found[-1][0]), key, np.int64))
-        if found:
-            one, two = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(np.concatenate(keys))], ["one", "two", "id"])
+                keys.append(key)
+        if not found:
+            continue
+        lens = np.fromiter((len(f[0]) for f in found), np.int64, len(found))
+        one, two, rest = (np.concatenate(x) for x in zip(*found, strict=True))
+        key = np.repeat(np.array(keys, np.int64), lens)
+        settled = _held_before(one, two, key)
+        edge = np.ones(len(key) + 1, bool)  # where a run of settled or other pieces of a row begins
+        edge[1:-1] = settled[1:] != settled[:-1]
+        edge[np.cumsum(lens) - lens] = True
+        edge = np.flatnonzero(edge)
+        runs = settled[edge[:-1]]
+        first, last = edge[:-1][runs], edge[1:][runs] - 1
+        lo = rest[first] & 0x7FFFFFFF
+        hi = (rest[last] & 0x7FFFFFFF) + (rest[last] >> 31 & 31) + MATCH
+        columns = (
+            np.concatenate([one[~settled], _mixed(key[first].view(_U) * _U(0x9E3779B97F4A7C15) + lo.astype(_U)).view(np.int64)]),
+            np.concatenate([two[~settled], hi]),
+            np.concatenate([rest[~settled], -1 - lo]),
+            np.concatenate([key[~settled], key[first]]),
+        )
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["one", "two", "three", "id"])
+
+
+def _held_before(one: np.ndarray, two: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which rows have an equal piece of a smaller key beside them."""
+    mixed = one ^ (two << 1)
+    order = np.argsort(mixed)
+    new = np.concatenate([[True], np.diff(mixed[order]) != 0])
+    out = np.zeros(len(key), bool)
+    if new.all():
+        return out
+    several = ~new
+    several[:-1] |= ~new[1:]
+    order = order[several]
+    order = order[np.lexsort((key[order], two[order], one[order]))]
+    new = np.concatenate([[True], (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)])
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    out[order] = key[order] > key[order][lead]
+    return out
 
 
 def _several(side: np.ndarray, group: np.ndarray, body: np.ndarray) -> np.ndarray:
@@ -196,17 +271,16 @@ def _several(side: np.ndarray, group: np.ndarray, body: np.ndarray) -> np.ndarra
     return (side > 0) & np.isin(key, many[counts > 1])
 
 
-def _open(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+def _open(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
     """Of the first documents' pieces, sorted: those that may share a window with another body."""
-    gram, rest = one >> 24, two >> 36
-    group = np.cumsum(np.concatenate([[0], gram[1:] != gram[:-1]]))
-    new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] >> 31 != two[:-1] >> 31)])
+    group = np.cumsum(np.concatenate([[0], one[1:] != one[:-1]]))
+    new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
     body = np.cumsum(new)
     alone = np.bincount(group, weights=new)[group] < 2
     out = ~alone
     if out.any():
         at = np.flatnonzero(out)
-        left, right = (rest[at] >> 10) & 1023, rest[at] & 1023
+        left, right = (three[at] >> 46) & 1023, (three[at] >> 36) & 1023
         out[at] = _several(left, group[at], body[at]) | _several(right, group[at], body[at])
     return out
 
@@ -217,42 +291,49 @@ def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A piece that an earlier document has is settled: all its windows go. The pieces
     of its first document stay open if one with another body may have a window of
     theirs. The first documents' pieces of one gram are held until the gram ends; of
-    a gram with more than CROWD, they are let through as open.
+    a gram with more than CROWD, they are let through as open. Stretches that are
+    settled pass through.
     """
     last = (None, None, 0)
-    held: tuple[np.ndarray, ...] = (np.zeros(0, np.int64),) * 3
+    held: tuple[np.ndarray, ...] = (np.zeros(0, np.int64),) * 4
     crowd = None
 
-    def rows(one, two, key, open_):
-        start, windows = (two & 0x7FFFFFFF).astype(np.int32), (((two >> 31) & 31) + 1).astype(np.int8)
+    def rows(one, start, windows, key, open_):
         flags = np.full(len(key), open_)
         return pa.RecordBatch.from_arrays(
-            [pa.array(one >> 24), pa.array(key), pa.array(start), pa.array(windows), pa.array(flags)], ["gram", "id", "start", "windows", "open"]
+            [pa.array(one), pa.array(key), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(flags)],
+            ["gram", "id", "start", "windows", "open"],
         )
 
+    def placed(one, three, key, open_):
+        return rows(one, three & 0x7FFFFFFF, (three >> 31 & 31) + 1, key, open_)
+
     def judged(part, everything=False):
-        one, two, key = part
-        fit = np.ones(len(one), bool) if everything else _open(one, two)
+        one, two, three, key = part
+        fit = np.ones(len(one), bool) if everything else _open(one, two, three)
         if fit.any():
-            yield rows(one[fit], two[fit], key[fit], True)
+            yield placed(one[fit], three[fit], key[fit], True)
 
     for batch in batches:
-        one, two, key = (c.to_numpy() for c in batch.columns)
+        one, two, three, key = (c.to_numpy() for c in batch.columns)
+        if (done := three < 0).any():
+            lo = -1 - three[done]
+            yield rows(one[done], lo, two[done] - lo - MATCH + 1, key[done], False)
+            one, two, three, key = (x[~done] for x in (one, two, three, key))
         if not len(one):
             continue
-        body = two >> 31
-        new = np.concatenate([[(one[0], body[0]) != last[:2]], (one[1:] != one[:-1]) | (body[1:] != body[:-1])])
+        new = np.concatenate([[(one[0], two[0]) != last[:2]], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
         lead = np.maximum.accumulate(np.where(new, np.arange(len(one)), -1))
         first = np.where(lead >= 0, key[np.maximum(lead, 0)], last[2])
-        last = (one[-1], body[-1], first[-1])
+        last = (one[-1], two[-1], first[-1])
         settled = key > first
         if settled.any():
-            yield rows(one[settled], two[settled], key[settled], False)
-        held = tuple(np.concatenate([h, x[~settled]]) for h, x in zip(held, (one, two, key), strict=True))
-        crowded = held[0] >> 24 == crowd if crowd is not None else np.zeros(len(held[0]), bool)
-        tail = held[0] >> 24 == one[-1] >> 24
+            yield placed(one[settled], three[settled], key[settled], False)
+        held = tuple(np.concatenate([h, x[~settled]]) for h, x in zip(held, (one, two, three, key), strict=True))
+        crowded = held[0] == crowd if crowd is not None else np.zeros(len(held[0]), bool)
+        tail = held[0] == one[-1]
         if (tail & ~crowded).sum() > CROWD:
-            crowd = one[-1] >> 24
+            crowd = one[-1]
             crowded |= tail
         if crowded.any():
             yield from judged(tuple(x[crowded] for x in held), everything=True)
@@ -312,11 +393,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text"))
-    cut = rows.mapInArrow(_cut, "one bigint, two bigint, id bigint")
+    cut = rows.mapInArrow(_cut, "one bigint, two bigint, three bigint, id bigint")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
-    dealt = cut.repartition(n, F.expr("shiftright(one, 24)")).sortWithinPartitions("one", F.expr("shiftright(two, 31)"), "id")
-    found = table(dealt.mapInArrow(_sorted_out, "gram bigint, id bigint, start int, windows tinyint, open boolean"), "pieces")
+    dealt = cut.repartition(n, "one").sortWithinPartitions("one", "two", "id")
+    found = table(dealt.mapInArrow(_sorted_out, "gram bigint, id bigint, start int, windows int, open boolean"), "pieces")
     small_batches(spark)
     release(spark)
     settled = found.where("NOT open").select("id", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + MATCH - 1).cast("int").alias("hi"))
@@ -348,9 +429,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ones meet. Where a gram's pieces have one body, its first document decides. The
     others are put in run-length indexes by shard, each distinct piece once, and
     streamed through them. Only ids, places and hashes are shuffled for all windows;
-    the bytes of open pieces alone follow. Of the hashes 40 bits
-    of the gram and 32 of the body are kept, and 10 of what lies to either side; rows
-    that agree in them are settled without comparing bytes.
+    the bytes of open pieces alone follow. A block's equal
+    pieces are combined before, so that no piece comes from all documents. Pieces
+    are settled by two hashes of 64 bits, of the gram and of the whole piece, made
+    with different values; their bytes aren't compared.
 
     Null or short text (under MATCH bytes): nothing removed. Null id: neither source
     nor target. Rows that repeat an id should be alike: its spans are those of all.
