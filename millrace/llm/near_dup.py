@@ -15,6 +15,8 @@ from millrace.llm.common import components, small_batches, table, whole
 WORDS = 5
 #: A link needs TOP / BASE of the union or more in common.
 TOP, BASE = 80, 100
+#: Parts of a group, of which one is left out of each signature.
+PARTS = 3
 #: Up to so many sets that share a signature are paired with each other at once.
 RUN = 24
 #: Sets of a larger run that are compared in one task, against as many others.
@@ -49,14 +51,19 @@ def most_apart(size: int) -> int:
 def signatures(own: np.ndarray) -> np.ndarray:
     """PartEnum signatures of a set, such that linked sets share one.
 
-    Sets fall in bands of doubling size. A band cuts the domain of hashes to parts;
-    a signature is what a set has in one part. Each element in which two sets differ
-    spoils one part at most, so ``most_apart`` + 1 parts, of those that aren't empty,
-    suffice: the set lists them in the order of parts. The one of two linked sets
-    whose list ends first has a whole part in it, and the other lists it too. A set
-    with too few such parts lists all, and joins a signature of its band for the
-    like of it. A set that can be linked to larger ones in the next band lists its
-    signatures there as well.
+    Sets fall in bands of doubling size. A band cuts the domain of hashes to groups of
+    PARTS parts (the first level); a signature is what a set has in all parts of a
+    group but one, and there is one for each part left out (the second level: subsets
+    of PARTS - 1 parts). Of two linked sets, a group fails only if they differ in two
+    of its parts or more, or in one where the set has elements in one part alone. So a
+    group is worth two of the ``most_apart`` differences, or one, and a set lists its
+    groups, in their order, until they are worth more than all differences. The one
+    of two linked sets whose list ends first has a group in it that doesn't fail, and
+    the other lists that too. Subsets without elements aren't listed.
+
+    A set whose groups are worth too little lists all, and joins a signature of its
+    band for the like of it. A set that can be linked to larger ones in the next band
+    lists its signatures there as well.
     """
     size = len(own)
     band = size.bit_length() - 1
@@ -64,16 +71,27 @@ def signatures(own: np.ndarray) -> np.ndarray:
     need = most_apart(size) + 1
     out = []
     for b in bands:
-        parts = max(64, (65 << b) // 100)
+        groups = max(22, (36 << b) // 100)
         salt = _U((b + 1) * 0xD6E8FEB86659FD93 % (1 << 64))
-        part = (_mixed(own + salt) >> _U(11)) % _U(parts)
-        order = np.argsort(part, kind="stable")
+        part = (_mixed(own + salt) >> _U(11)) % _U(groups * PARTS)
+        order = np.argsort(part)
         part = part[order]
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         sums = np.add.reduceat(_mixed(own[order] ^ salt), first)
-        out.append(_mixed(sums + part[first] * salt)[:need])
-        if len(first) < need:
+        part = part[first].astype(np.int64)
+        group = part // PARTS
+        new = np.concatenate([[True], group[1:] != group[:-1]])
+        place = np.cumsum(new) - 1
+        filled = np.bincount(place)
+        worth = np.cumsum(np.minimum(filled, 2))
+        listed = int(np.searchsorted(worth, need)) + 1
+        if listed > len(worth):
             out.append(_mixed(np.array([salt], _U)))
+        held = np.zeros((len(worth), PARTS), _U)
+        held[place, part % PARTS] = _mixed(sums + part.astype(_U) * salt)
+        held, some = held[:listed], filled[:listed, None] - (held[:listed] != 0) > 0
+        name = group[new][:listed, None].astype(_U) * _U(PARTS) + np.arange(PARTS, dtype=_U)
+        out.append(_mixed(held.sum(axis=1, dtype=_U)[:, None] - held + name * _U(0x9E3779B97F4A7C15) + salt)[some])
     return np.concatenate(out)
 
 
