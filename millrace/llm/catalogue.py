@@ -15,4 +15,11 @@ QUERIES = {
     "op10_exact_dedup": dedup_exact.op10_exact_dedup,
 }
 
-SQL = {"op3_top_k": knn.OP3_SQL, "op10_exact_dedup": dedup_exact.OP10_SQL}
+#: The others are tokenizers, a compressor and a model, which SQL can't express.
+SQL = {
+    "op3_top_k": knn.OP3_SQL,
+    "op5_near_dup": near_dup.OP5_SQL,
+    "op7_warc": warc.OP7_SQL,
+    "op9_suffix_dedup": suffix_dedup.OP9_SQL,
+    "op10_exact_dedup": dedup_exact.OP10_SQL,
+}

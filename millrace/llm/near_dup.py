@@ -410,3 +410,31 @@ def _named(job: Join, roots: DataFrame, id_col: str) -> DataFrame:
 
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM words)
+), sizes AS (
+  SELECT doc_id, count(s) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION
+  SELECT b, root FROM reach JOIN links ON a = node WHERE root < b
+)
+SELECT doc_id, any_value(n) AS n_shingles, min(root) AS component_id
+FROM reach JOIN sizes ON doc_id = node GROUP BY doc_id
+"""

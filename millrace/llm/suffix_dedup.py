@@ -472,3 +472,35 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), parts AS (  -- long strings are slow to take windows of
+  SELECT doc_id, p, substring(h, CAST(2 * p + 1 AS INTEGER), 2 * 299) AS h, least(250, n - 49 - p) AS n
+  FROM (SELECT doc_id, h, n, unnest(range(0, n - 49, 250)) AS p FROM bytes WHERE n >= 50)
+), windows AS (
+  SELECT doc_id, p + i AS p, substring(h, CAST(2 * i + 1 AS INTEGER), 100) AS s
+  FROM (SELECT doc_id, h, p, unnest(range(0, n)) AS i FROM parts)
+), firsts AS (
+  SELECT s, min(doc_id) AS least FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before
+  FROM windows JOIN firsts USING (s) WHERE least < doc_id
+), islands AS (
+  SELECT doc_id, p, sum(CASE WHEN p <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS island FROM gone
+), spans AS (
+  SELECT doc_id, min(p) AS lo, max(p) + 50 AS hi FROM islands GROUP BY doc_id, island
+), gaps AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS last FROM spans
+), kept AS (
+  SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans,
+         string_agg(substring(h, CAST(2 * last + 1 AS INTEGER), CAST(2 * (lo - last) AS INTEGER)), '' ORDER BY lo)
+           || substring(any_value(h), CAST(2 * max(hi) + 1 AS INTEGER)) AS k
+  FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id)
+"""

@@ -259,3 +259,18 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     archives = archive_pages(pages, scratch(spark, "warc"))
     return read_archives(archives).drop("url")
+
+
+OP7_SQL = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS response
+  FROM pages
+)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(((CAST('0x' || substring(digest, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31) + 1 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM payloads
+"""
