@@ -17,6 +17,8 @@ MATCH, GRAM = 50, 20
 _REACH, _SIDE = MATCH - GRAM + 1, (MATCH - GRAM) // 2
 #: Positions hashed at once (below 2^16), bytes of an index, pieces of a gram beyond which they are split.
 SEGMENT, INDEX_BYTES, CROWD = 60_000, 2 << 20, 20_000
+#: What is known of a piece: an earlier document has it, one may share a window, one may and its gram has very many.
+SETTLED, OPEN, CROWDED = 0, 1, 2
 #: Bytes of text whose equal pieces are combined before they are dealt.
 BLOCK_BYTES = 4 << 20
 #: Symbols by which suffixes are sorted at first; then by twice as many each time.
@@ -207,7 +209,7 @@ def _stretches(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b - 1 + MATCH) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
     """The pieces of all texts; those that an earlier document of a block has come as settled stretches.
 
     A piece leaves a block from the first of its documents there alone, so a piece that
@@ -215,7 +217,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     long is negative: -1 - its start; the second is its end, the first a hash to
     deal it by.
     """
-    for block in blocks(batches, BLOCK_BYTES):
+    for block in blocks(batches, block_bytes):
         keys, found = [], []
         for key, text in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True):
             data = np.frombuffer(text.encode(), np.uint8)
@@ -285,40 +287,41 @@ def _open(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sorted_out(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by piece and id: those that an earlier document has, and open ones.
 
     A piece that an earlier document has is settled: all its windows go. The pieces
     of its first document stay open if one with another body may have a window of
     theirs. The first documents' pieces of one gram are held until the gram ends; of
-    a gram with more than CROWD, they are let through as open. Stretches that are
-    settled pass through.
+    a gram with more than ``most``, they are let through as open, and marked to be cut
+    to windows, which are dealt by their bytes. Stretches that are settled pass
+    through.
     """
     last = (None, None, 0)
     held: tuple[np.ndarray, ...] = (np.zeros(0, np.int64),) * 4
     crowd = None
 
-    def rows(one, start, windows, key, open_):
-        flags = np.full(len(key), open_)
+    def rows(one, start, windows, key, state):
+        flags = np.full(len(key), state, np.int8)
         return pa.RecordBatch.from_arrays(
             [pa.array(one), pa.array(key), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(flags)],
-            ["gram", "id", "start", "windows", "open"],
+            ["gram", "id", "start", "windows", "state"],
         )
 
-    def placed(one, three, key, open_):
-        return rows(one, three & 0x7FFFFFFF, (three >> 31 & 31) + 1, key, open_)
+    def placed(one, three, key, state):
+        return rows(one, three & 0x7FFFFFFF, (three >> 31 & 31) + 1, key, state)
 
     def judged(part, everything=False):
         one, two, three, key = part
         fit = np.ones(len(one), bool) if everything else _open(one, two, three)
         if fit.any():
-            yield placed(one[fit], three[fit], key[fit], True)
+            yield placed(one[fit], three[fit], key[fit], CROWDED if everything else OPEN)
 
     for batch in batches:
         one, two, three, key = (c.to_numpy() for c in batch.columns)
         if (done := three < 0).any():
             lo = -1 - three[done]
-            yield rows(one[done], lo, two[done] - lo - MATCH + 1, key[done], False)
+            yield rows(one[done], lo, two[done] - lo - MATCH + 1, key[done], SETTLED)
             one, two, three, key = (x[~done] for x in (one, two, three, key))
         if not len(one):
             continue
@@ -328,11 +331,11 @@ def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (one[-1], two[-1], first[-1])
         settled = key > first
         if settled.any():
-            yield placed(one[settled], three[settled], key[settled], False)
+            yield placed(one[settled], three[settled], key[settled], SETTLED)
         held = tuple(np.concatenate([h, x[~settled]]) for h, x in zip(held, (one, two, three, key), strict=True))
         crowded = held[0] == crowd if crowd is not None else np.zeros(len(held[0]), bool)
         tail = held[0] == one[-1]
-        if (tail & ~crowded).sum() > CROWD:
+        if (tail & ~crowded).sum() > most:
             crowd = one[-1]
             crowded |= tail
         if crowded.any():
@@ -385,28 +388,30 @@ def _indexed(group: pa.Table) -> pa.Table:
     return pa.table({"id": pa.array(columns[0].copy()), "lo": pa.array(columns[1].astype(np.int32)), "hi": pa.array(columns[2].astype(np.int32))})
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """(id, lo, hi): stretches of bytes of a document covered by strings of an earlier one.
 
-    Stretches of a document may overlap. See ``remove_repeats``.
+    Stretches of a document may overlap. ``crowd`` pieces of a gram are held in a
+    task, and ``block_bytes`` of text; neither changes the result. See ``remove_repeats``.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text"))
-    cut = rows.mapInArrow(_cut, "one bigint, two bigint, three bigint, id bigint")
+    cut = rows.mapInArrow(lambda b: _cut(b, block_bytes), "one bigint, two bigint, three bigint, id bigint")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
     dealt = cut.repartition(n, "one").sortWithinPartitions("one", "two", "id")
-    found = table(dealt.mapInArrow(_sorted_out, "gram bigint, id bigint, start int, windows int, open boolean"), "pieces")
+    found = table(dealt.mapInArrow(lambda b: _sorted_out(b, crowd), "gram bigint, id bigint, start int, windows int, state tinyint"), "pieces")
     small_batches(spark)
     release(spark)
-    settled = found.where("NOT open").select("id", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + MATCH - 1).cast("int").alias("hi"))
-    open_ = found.where("open")
-    crowds = open_.groupBy("gram").agg(F.count("*").alias("n"))
-    wanted = (
-        open_.join(crowds, "gram")
-        .groupBy("id")
-        .agg(F.collect_list(F.struct("gram", "start", "windows", (F.col("n") > CROWD).alias("crowded"))).alias("found"))
+    settled = found.where(F.col("state") == SETTLED).select(
+        "id", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + MATCH - 1).cast("int").alias("hi")
+    )
+    open_ = found.where(F.col("state") != SETTLED)
+    wanted = open_.groupBy("id").agg(
+        F.collect_list(F.struct("gram", "start", "windows", (F.col("state") == CROWDED).alias("crowded"))).alias("found")
     )
     texts = rows.join(wanted, "id").mapInArrow(_texts, "shard bigint, gram bigint, id bigint, start int, piece binary")
     texts = table(texts, "open-pieces")
@@ -421,7 +426,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return settled.unionByName(marks)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """(``id_col``, n_bytes, n_removed, n_spans, kept binary, removed array<struct<lo, hi>>).
 
     Each byte goes that a string of MATCH bytes covers which also starts in a document
@@ -438,7 +445,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nor target. Rows that repeat an id should be alike: its spans are those of all.
     Empty table: no rows. Other columns are ignored.
     """
-    spans = repeated_spans(docs, id_col, text_col)
+    spans = repeated_spans(docs, id_col, text_col, crowd, block_bytes)
     spans = table(spans.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "repeats")
     release(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()

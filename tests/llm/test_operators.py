@@ -456,6 +456,17 @@ def test_crowded_grams_are_cut_to_windows(spark, monkeypatch):
     assert out.column("start").to_pylist() == [0, 1, 2] and {len(p) for p in out.column("piece").to_pylist()} == {50}
 
 
+def test_suffix_dedup_of_a_crowded_gram(spark):
+    """One line in many contexts: its gram's pieces are cut to windows, and nothing else changes."""
+    line = "this line of seventy bytes stands in every document, as lines often do"
+    rows = [(i, cases.prose(i, 12) + line[: 40 + i % 30] + cases.prose(100 + i, 12) + line) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = cases.without_repeats(rows)
+    for crowd in (suffix_dedup.CROWD, 5):
+        out = suffix_dedup.remove_repeats(docs, crowd=crowd, block_bytes=1000).collect()
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in out} == want
+
+
 def test_run_length_index():
     rnd = np.random.default_rng(1)
     seed = bytes(rnd.integers(97, 100, 400).astype(np.uint8))
@@ -469,4 +480,9 @@ def test_run_length_index():
             first[t[p : p + 50]] = min(o, first.get(t[p : p + 50], o))
     want = [[first[t[p : p + 50]] < o for p in range(len(t) - 49)] for t, o in zip(texts, owners.tolist(), strict=True)]
     assert [g.tolist() for g in got] == want
-    assert index.runs < sum(map(len, texts)) / 2
+    data, ranks = b"".join(t + b"\0" for t in texts), np.arange(len(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    for step in range(1, 40):  # what lies a step before each text's end
+        ranks = index.back(ranks)
+        assert index.locate(ranks).tolist() == [int(e) - step for e in ends]
+    assert len(data) == index.size and index.runs < sum(map(len, texts)) / 2
