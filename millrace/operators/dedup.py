@@ -38,7 +38,7 @@ def deduplicate(rows: DataFrame, keys: Sequence[str], order: str, op: str = "__o
     for k in keys:
         no_key = no_key | F.col(k).isNull()
     guarded = rows.withColumn(
-        order, F.when(no_key, F.raise_error(F.lit("Cannot deduplicate data with null key!")).cast("bigint")).otherwise(F.col(order))
+        order, F.when(no_key, F.raise_error(F.lit("Cannot deduplicate data with null key!")).cast(rows.schema[order].dataType)).otherwise(F.col(order))
     )
     whole = F.struct(*(F.col(c) for c in rows.columns))
     if by:

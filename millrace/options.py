@@ -76,6 +76,15 @@ class Options:
     unwrap: bool = True
     heartbeat_pattern: str = r"__\w+-heartbeat.*"
     heartbeat_skip_consuming: bool = True
+    transforms: list[str] = field(default_factory=list)
+    transform_config: dict[str, dict[str, str]] = field(default_factory=dict)
+    # state tables
+    offset_table: str = "_offset_storage"
+    history_table: str = "_schema_history_storage"
+    offset_store: str = "table"
+    history_store: str = "table"
+    # passed on to Spark as they are: spark.sql.catalog.*, spark.hadoop.* and the like
+    spark_config: dict[str, str] = field(default_factory=dict)
     # batches
     batch_size_wait: str = "NoBatchSizeWait"
     batch_size_wait_max_wait_ms: int = 300_000
@@ -114,7 +123,14 @@ class Options:
         }
         out: dict = {}
         per_table: dict[str, list[str]] = {}
+        passed = {k: v for k, v in config.items() if k.startswith("spark.")}
+        transforms: dict[str, dict[str, str]] = {}
         for key, value in config.items():
+            if key in passed:
+                continue
+            if m := re.match(r"(?:[\w-]+\.)?transforms\.([\w-]+)\.(.+)$", key):
+                transforms.setdefault(m[1], {})[m[2]] = value
+                continue
             name = re.sub(r"^(?:[\w-]+\.)?(?:sink\.(?:[\w-]+\.)?|source\.)?", "", key, count=1) if "." in key else key
             if name.startswith("partition-by."):
                 per_table[name.removeprefix("partition-by.")] = split_list(value)
@@ -123,7 +139,12 @@ class Options:
             name = alias.get(name, name)
             if name in known:
                 out[name] = _typed(str(known[name].type), value)
-        return cls(**out, **({"partition_by_table": per_table} if per_table else {}))
+        for own in transforms.values():  # what the flattening transform is told
+            if own.get("type", "").endswith(("ExtractNewRecordState", "ExtractNewDocumentState")):
+                of = {"add.fields": "add_fields", "delete.handling.mode": "delete_mode", "delete.tombstone.handling.mode": "delete_mode", "drop.tombstones": "drop_tombstones"}
+                out |= {of[k]: _typed(str(known[of[k]].type), v) for k, v in own.items() if k in of}
+        more = {"partition_by_table": per_table, "spark_config": passed, "transform_config": transforms}
+        return cls(**out, **{k: v for k, v in more.items() if v})
 
     def partition_spec(self, destination: str) -> tuple[list[str], bool]:
         """The partition entries of a destination, and whether they are its own (then strict)."""

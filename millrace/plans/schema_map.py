@@ -107,11 +107,51 @@ def map_schema(value: dict | str, key: dict | str | None, options: Options) -> M
     return Mapped(schema, [n for n in names if n in top])
 
 
+#: Wire types of Spark's plain types, and of those that carry a semantic name.
+_WIRE = {
+    "tinyint": "int8", "smallint": "int16", "int": "int32", "bigint": "int64", "float": "float32", "double": "float64",
+    "boolean": "boolean", "string": "string", "binary": "bytes", "void": "string",
+}
+_NAMED = {"date": ("int32", "time.Date"), "timestamp": ("string", "time.ZonedTimestamp"), "timestamp_ntz": ("int64", "time.MicroTimestamp")}
+
+
+def struct_schema(kind: T.DataType, name: str | None = None, optional: bool = True, meta: dict | None = None) -> dict:
+    """The wire schema of a typed record; what a field's metadata keeps under ``wire`` comes first."""
+    out: dict = {"optional": optional} | ({"field": name} if name else {})
+    plain = kind.simpleString()
+    if isinstance(kind, T.StructType):
+        out |= {"type": "struct", "fields": [struct_schema(f.dataType, f.name, f.nullable, f.metadata) for f in kind.fields]}
+    elif isinstance(kind, T.ArrayType):
+        out |= {"type": "array", "items": struct_schema(kind.elementType)}
+    elif isinstance(kind, T.MapType):
+        out |= {"type": "map", "keys": struct_schema(kind.keyType), "values": struct_schema(kind.valueType)}
+    elif isinstance(kind, T.DecimalType):
+        sizes = {"scale": str(kind.scale), "connect.decimal.precision": str(kind.precision)}
+        out |= {"type": "bytes", "name": "data.Decimal", "parameters": sizes}
+    elif plain in _NAMED:
+        out |= dict(zip(("type", "name"), _NAMED[plain], strict=True))
+    elif plain in _WIRE:
+        out |= {"type": _WIRE[plain]}
+    else:
+        raise ValueError(f"no wire type for {plain}")
+    return out | json.loads((meta or {}).get("wire", "{}"))
+
+
 def is_schema_change(value: dict) -> bool:
     names = {f["field"] for f in value.get("fields", [])}
     return {"ddl", "databaseName", "tableChanges"} <= names
 
 
+def rooted_keys(value: dict, key: dict | None) -> list[str]:
+    """The paths of an event's key fields in its table: under ``after`` where the event isn't flattened."""
+    names = [f["field"] for f in (key or {}).get("fields", [])]
+    top = {f["field"]: f for f in value.get("fields", [])}
+    if {"before", "after", "op"} <= top.keys():
+        inside = {f["field"] for f in top["after"].get("fields") or []}
+        return [f"after.{n}" for n in names if n in inside]
+    return [n for n in names if n in top]
+
+
 def field_ids(value: dict, start: int = 1) -> dict[str, int]:
     """Ids by path, depth first; a list takes its element's nested ids before the element's own."""
     out: dict[str, int] = {}
