@@ -87,6 +87,12 @@ class Snapshot:
         return cls(**raw | {"schema": T.StructType.fromJson(raw["schema"]), "partition": list(map(parse, raw["partition"]))})
 
 
+def _counted(batch_id: str) -> tuple[str, int | None]:
+    """``source#number`` as the source (with the sign) and the number; another id as it is."""
+    source, sign, number = batch_id.rpartition("#")
+    return (source + sign, int(number)) if sign and number.isdecimal() else (batch_id, None)
+
+
 def _physical(f: T.StructField) -> str:
     return f.metadata.get("physical", f.name)
 
@@ -97,12 +103,11 @@ class Table:
     A commit writes its files first, then one log entry, whose creation decides. Data
     and delete rows carry the commit's number; a row is visible unless a delete of its
     key has a greater number. Readers see one entry, so commits are atomic; files of a
-    commit that failed are never listed. A batch id is committed once.
+    commit that failed are never listed. A batch id is committed once: of ids that end in
+    ``#`` and a number, which a source counts up, the highest is remembered; of
+    others, all.
     """
 
-    #: Batch ids that an entry remembers.
-    REMEMBERED = 1000
-
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self.store = spark, folder.rstrip("/"), Store(spark, folder)
 
@@ -128,8 +133,6 @@ class Table:
 
     def _commit(self, new: Snapshot) -> Snapshot:
         new.committed_ms = int(time.time() * 1000)
-        while len(new.batches) > self.REMEMBERED:
-            new.batches.pop(next(iter(new.batches)))
         self.store.create(f"_log/{new.version:010d}.json", new.dump())
         return new
 
@@ -152,11 +155,15 @@ class Table:
         now = self.snapshot()
         new = Snapshot(**now.__dict__ | {"operation": operation, "version": now.version + 1, "batches": dict(now.batches)} | changes)
         if batch_id is not None:
-            new.batches[batch_id] = new.version
+            source, number = _counted(batch_id)
+            new.batches[source] = new.version if number is None else number
         return new
 
     def committed(self, batch_id: str | None) -> bool:
-        return batch_id is not None and batch_id in self.snapshot().batches
+        if batch_id is None:
+            return False
+        (source, number), known = _counted(batch_id), self.snapshot().batches
+        return source in known and (number is None or number <= known[source])
 
     # --- schema
 

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.partition import Transform
+from millrace.options import Options
 from millrace.sources.envelope import as_text
-from millrace.sources.table import Table
+from millrace.sources.table import Table, table_folder
 
 _STATE = "id string, {} string, record_insert_ts timestamp"
 
@@ -100,6 +101,29 @@ class SchemaHistory:
         self.table.append(rows)
 
 
+_STORES: dict[tuple[str, str], type] = {("offset", "table"): OffsetStore, ("history", "table"): SchemaHistory}
+
+
+def register_store(role: str, name: str):
+    """Make a store class known for ``offset`` or ``history``; a second one of that name is an error."""
+
+    def add(cls: type) -> type:
+        if (role, name) in _STORES:
+            raise ValueError(f"there are two {role} stores named {name}")
+        _STORES[role, name] = cls
+        return cls
+
+    return add
+
+
+def open_store(spark: SparkSession, role: str, options: Options):
+    """The offset or history store that the options name, over the table they name in the warehouse."""
+    name, table = (options.offset_store, options.offset_table) if role == "offset" else (options.history_store, options.history_table)
+    if (role, name) not in _STORES:
+        raise ValueError(f"no {role} store named {name}")
+    return _STORES[role, name](spark, table_folder(options.warehouse, options.table_namespace, table))
+
+
 ARCHIVE = (
     "event_destination string, event_key_schema string, event_key_payload string, event_value_schema string, "
     "event_value_payload string, event_sink_epoch_ms bigint, event_sink_timestamptz timestamp"
