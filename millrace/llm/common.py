@@ -87,6 +87,11 @@ def whole(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def row_hash(id_: Column, text: Column) -> Column:
+    """A hash of a row's id and text (null as empty), never null: with the id, it tells rows of a repeated id apart."""
+    return F.xxhash64(id_, F.coalesce(text.cast("string"), F.lit("")))
+
+
 def blocks(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
     """Join Arrow batches to tables of about ``limit`` bytes (or one batch, if larger)."""
     held: list[pa.RecordBatch] = []

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table, whole
+from millrace.llm.common import row_hash, table, whole
 
 #: The least number of salts; with more shuffle partitions there are as many as these.
 SALTS = 64
@@ -28,10 +28,12 @@ def exact_dedup(
     text_col: str = "text",
     salts: int | None = None,
     digest: Callable[[Column], Column] = sha256_of,
+    with_row: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: its id, and the group of equal texts it is in.
 
-    Returns (``id_col``, keep_id, group_size, kept, text_sha256).
+    Returns (``id_col``, keep_id, group_size, kept, text_sha256[, row]); ``row`` is
+    ``row_hash``.
 
     1. Each task combines its equal (digest, salt, text) rows: the aggregate's
        map-side half. A group that holds a third of all rows is cut to ``salts``
@@ -52,8 +54,10 @@ def exact_dedup(
     """
     if salts is None:
         salts = max(SALTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("norm")).select(
+    named = row_hash(F.col(id_col), F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("norm"), *([named.alias("row")] if with_row else [])).select(
         "id",
+        *(["row"] if with_row else []),
         "norm",
         digest(F.col("norm")).alias("digest"),
         F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"),
@@ -77,6 +81,7 @@ def exact_dedup(
         "group_size",
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256",
+        *(["row"] if with_row else []),
     )
 
 
@@ -95,7 +100,8 @@ def _groups(rows: DataFrame) -> DataFrame:
 def _members(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Every row with its group; a group has a row for each of its salts."""
     spread = groups.withColumn("salt", F.explode("salts")).drop("salts")
-    return rows.select("id", *keys).join(spread, keys).select("id", "keep_id", "group_size", "text_sha256")
+    own = [c for c in rows.columns if c in ("id", "row")]
+    return rows.select(*own, *keys).join(spread, keys).select(*own, "keep_id", "group_size", "text_sha256")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

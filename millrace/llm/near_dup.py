@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, small_batches, table, whole
+from millrace.llm.common import components, row_hash, small_batches, table, whole
 
 WORDS = 5
 #: A link needs TOP / BASE of the union or more in common.
@@ -105,7 +105,7 @@ def sketch(own: np.ndarray) -> np.ndarray:
 def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text, row): row is a hash of both, never null, by which a text is found again."""
     rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
-    return rows.withColumn("row", F.xxhash64("id", "text"))
+    return rows.withColumn("row", row_hash(F.col("id"), F.col("text")))
 
 
 def _described(rows: DataFrame) -> DataFrame:
@@ -352,8 +352,8 @@ def _compared(nearest: bool):
     return work
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``id_col``, n_shingles, component_id) for every row of ``docs``.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:
+    """(``id_col``, n_shingles, component_id[, row]) for every row of ``docs``; ``row`` is ``row_hash``.
 
     1. Rows of equal shingle sets are one set from here on; thousands of copies cost
        as much as one.
@@ -381,7 +381,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         open_ = table(_apart(more(), roots), "open")
         if not open_.isEmpty():
             roots = _joined(roots, job.linked(open_))
-    return _named(job, roots, id_col)
+    return _named(job, roots, id_col, with_row)
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -399,13 +399,13 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.join(ra, "a").join(rb, "b").where("ra <> rb").select("a", "b", "na", "nb")
 
 
-def _named(job: Join, roots: DataFrame, id_col: str) -> DataFrame:
+def _named(job: Join, roots: DataFrame, id_col: str, with_row: bool) -> DataFrame:
     sets = table(job.sets.select("set_id", "first").join(roots, "set_id"), "set-roots")
     names = sets.groupBy("root").agg(F.min("first").alias("component_id"))
     named = sets.join(names, "root").select("set_id", "component_id")
-    return job.described.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id")).join(
+    return job.described.select("id", "n_shingles", "row", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id")).join(
         named, "set_id", "left"
-    ).select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    ).select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), *(["row"] if with_row else []))
 
 
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import blocks, release, scratch, small_batches, table, whole
+from millrace.llm.common import blocks, release, row_hash, scratch, small_batches, table, whole
 
 #: Bytes of a gram (at most 7, as grams are packed in longs), and of the alphabet with its two marks.
 ORDER, ALPHABET = 4, 258
@@ -175,7 +175,7 @@ class Shards:
 
 
 def perplexities(docs: DataFrame, model_path: str, shards: int, order: int = ORDER) -> DataFrame:
-    """(id, lang, perplexity) of (id, lang, lang_key, text); null where the language has no model.
+    """(id, lang, row, perplexity) of (id, lang, row, lang_key, text); null where the language has no model.
 
     A block of documents gathers its distinct grams, looks them up shard by shard in
     the stored counts, and sums by document. Texts aren't shuffled, and a worker
@@ -186,8 +186,8 @@ def perplexities(docs: DataFrame, model_path: str, shards: int, order: int = ORD
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Shards(model_path, shards)
         for block in blocks(batches, BLOCK_BYTES):
-            langs = np.array(block.column(2).to_pylist(), np.int64)
-            texts = [t.encode() for t in block.column(3).to_pylist()]
+            langs = np.array(block.column(3).to_pylist(), np.int64)
+            texts = [t.encode() for t in block.column(4).to_pylist()]
             out = np.full(len(langs), np.nan)
             for lang in np.unique(langs).tolist():
                 mine = np.flatnonzero(langs == lang)
@@ -198,10 +198,10 @@ def perplexities(docs: DataFrame, model_path: str, shards: int, order: int = ORD
                     total = np.add.reduceat(model.score(lang, distinct, order)[back], np.cumsum(lens) - lens)
                     out[part] = np.exp(-total / lens)
             yield from pa.table(
-                [*block.columns[:2], pa.array(out, from_pandas=True)], names=["id", "lang", "perplexity"]
+                [*block.columns[:3], pa.array(out, from_pandas=True)], names=["id", "lang", "row", "perplexity"]
             ).to_batches(4096)
 
-    return docs.select("id", "lang", "lang_key", "text").mapInArrow(work, f"id {kind}, lang string, perplexity double")
+    return docs.select("id", "lang", "row", "lang_key", "text").mapInArrow(work, f"id {kind}, lang string, row bigint, perplexity double")
 
 
 def classify(
@@ -213,8 +213,9 @@ def classify(
     order: int = ORDER,
     quantile: float = QUANTILE,
     slack: float = SLACK,
+    with_row: bool = False,
 ) -> DataFrame:
-    """(``id_col``, lang, perplexity, threshold, kept) for every row of ``docs``.
+    """(``id_col``, lang, perplexity, threshold, kept[, row]) for every row of ``docs``; ``row`` is ``row_hash``.
 
     ``trusted``: ids (``id_col``) of documents of ``docs`` to train on, all of them. A
     language has two models: ids fall in two halves by a hash, and a document is
@@ -237,7 +238,7 @@ def classify(
     )
     lang = F.coalesce("lang", F.lit("\0none"))
     taught = rows.select("id", "text", F.xxhash64(lang, 1 - F.col("half")).alias("lang_key"))
-    judged = rows.select("id", "lang", "text", F.xxhash64(lang, "half").alias("lang_key"))
+    judged = rows.select("id", "lang", "text", F.xxhash64(lang, "half").alias("lang_key"), row_hash(F.col("id"), F.col("text")).alias("row"))
     ids = trusted.select(F.col(id_col).alias("id")).distinct()
     # merged at every size: a broadcast of the ids would have no bound
     counts = table(gram_counts(taught.join(ids.hint("merge"), "id", "left_semi"), order), "kn-counts")
@@ -254,13 +255,14 @@ def classify(
     # a language may hold most rows: its threshold is laid out once a salt, its rows are dealt by salt
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     limits = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    dealt = scored.withColumns({"key": lang, "salt": F.pmod(F.xxhash64("id", "perplexity"), F.lit(salts)).cast("int")})
+    dealt = scored.withColumns({"key": lang, "salt": F.pmod("row", F.lit(salts)).cast("int")})
     return dealt.join(limits, ["key", "salt"], "left").select(
         F.col("id").alias(id_col),
         "lang",
         "perplexity",
         "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"),
+        *(["row"] if with_row else []),
     )
 
 
