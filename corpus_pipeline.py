@@ -1,7 +1,10 @@
 """From raw documents to packed sequences: five stages, each stored before the next.
 
 Every stage takes (spark, docs, sf_dir); all but the last return the columns of
-``docs``. A row whose doc_id is null is never dropped, as it can't be named.
+``docs``, whatever they are called. A decision is for a row by its doc_id and text: where
+an id repeats with another text, only the row that is rejected goes. Rows that repeat
+both share their fate. A null doc_id gives way to any other; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import row_hash, table
 from millrace.llm.dedup_exact import exact_dedup
 from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack_documents
@@ -18,23 +21,28 @@ from millrace.llm.secrets import redact
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows (doc_id, row) of ``dropped``."""
+    gone = dropped.select(F.col("doc_id").alias("id"), "row").distinct().alias("gone")
+    rows = docs.alias("docs")
+    named = row_hash(F.col("docs.doc_id"), F.col("docs.text"))
+    return rows.join(gone, F.col("docs.doc_id").eqNullSafe(F.col("gone.id")) & (named == F.col("gone.row")), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Kneser-Ney classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without(docs, classify(docs, trusted_ids(labels)).where("NOT kept"))
+    return _without(docs, classify(docs, trusted_ids(labels), with_row=True).where("NOT kept"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest doc_id stays."""
-    return _without(docs, exact_dedup(docs).where("NOT kept"))
+    return _without(docs, exact_dedup(docs, with_row=True).where("NOT kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest doc_id stays."""
-    return _without(docs, near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")))
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return _without(docs, near_duplicates(docs, with_row=True).where(~stays))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
