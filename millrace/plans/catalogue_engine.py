@@ -155,7 +155,7 @@ def consume_connect(spark, sf_dir):
     return _zoned_as_utc(consumer.table("e").read(), "__source_ts_ms")
 
 
-@query("connect_typed_values", "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS price, o_orderdate::TIMESTAMP AS at, o_orderstatus AS first_tag, o_custkey AS in_map, CAST(o_orderkey % 7 AS INTEGER) AS in_struct FROM orders")
+@query("connect_typed_values", "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price, o_orderdate::TIMESTAMP AS at, o_orderstatus AS first_tag, o_custkey AS in_map, CAST(o_orderkey % 7 AS INTEGER) AS in_struct FROM orders")
 def connect_typed_values(spark, sf_dir):
     """Decimals, zoned times, lists, maps and structs of typed records, through the consumer."""
     orders = read(spark, sf_dir, "orders")
@@ -166,7 +166,7 @@ def connect_typed_values(spark, sf_dir):
     consumer = Consumer(spark, Options(warehouse=workspace(spark, "warehouse")))
     consumer.handle_batch(orders.select(F.lit("t").alias("destination"), F.struct("o_orderkey").alias("key"), value.alias("value")), 1)
     rows = consumer.table("t").read()
-    return rows.select("o_orderkey", "price", F.col("at").cast("timestamp_ntz").alias("at"), F.col("tags")[0].alias("first_tag"), F.col("m")["c"].alias("in_map"), F.col("s.seventh").alias("in_struct"))
+    return rows.select("o_orderkey", F.col("price").cast("double").alias("price"), F.col("at").cast("timestamp_ntz").alias("at"), F.col("tags")[0].alias("first_tag"), F.col("m")["c"].alias("in_map"), F.col("s.seventh").alias("in_struct"))
 
 
 @query("consume_transforms", "SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0")
