@@ -148,6 +148,10 @@ def test_bpe_matches_tiktoken(spark):
     for ids, counts in b.encode(texts, part=7):
         got += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
     assert got == [ref.encode_ordinary(t) for t in texts]
+    rnd = np.random.default_rng(6)
+    for letters in ("ab", "aaab", "abcdefghijklmnopqrstuvwxyz", "日本é"):  # long words without a cut
+        word = "".join(rnd.choice(list(letters), 20_000))
+        assert b.replay([word.encode()])[0].tolist() == ref.encode_ordinary(word)
     words = [w.encode() for t in texts for w in b.split.findall(t)]
     ids, counts = b.replay([w for w in words if len(w) < 300])
     assert int(counts.sum()) == len(ids)
