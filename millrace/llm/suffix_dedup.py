@@ -118,10 +118,10 @@ class RunLengthIndex:
             key[: n - i] |= np.where(to_mark[: n - i] >= i, text[i:], 0) << (9 * (_FIRST - 1 - i))
         depth, agree = _FIRST, None
         while True:
-            order, rank = _ranked(key, to_mark < depth)
+            order, rank, distinct = _ranked(key, to_mark < depth)
             if depth == 4 * _FIRST:
                 agree = rank  # two suffixes agree in MATCH bytes if in so many, and again up to the last of them
-            if depth >= 4 * _FIRST and (depth > to_mark.max() or len(np.unique(rank)) == n):
+            if depth >= 4 * _FIRST and (depth > to_mark.max() or distinct == n):
                 break
             key = rank << 32
             key[: n - depth] |= np.where(to_mark[: n - depth] >= depth, rank[depth:] + 1, 0)
@@ -165,7 +165,12 @@ class RunLengthIndex:
         return out
 
     def earlier(self, owners: np.ndarray, lens: np.ndarray) -> list[np.ndarray]:
-        """For each text, at each window, whether an owner less than its own has the window.
+        """For each text, at each window, whether an owner less than its own has the window."""
+        flat = self.streamed(owners, lens)
+        return [flat[i, : max(0, n - MATCH + 1)] for i, n in enumerate(lens.tolist())]
+
+    def streamed(self, owners: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """``earlier`` as a matrix of texts and window starts.
 
         All texts are streamed from their ends at once: a step back leads from a
         suffix's rank to that of the longer suffix. A matching statistic of MATCH or
@@ -182,17 +187,22 @@ class RunLengthIndex:
             if step >= MATCH:
                 range_ = np.searchsorted(self.range_start, at, "right") - 1
                 flat[alive, lens[alive] - step] = self.least[range_] < owners[alive]
-        return [flat[i, : max(0, n - MATCH + 1)] for i, n in enumerate(lens.tolist())]
+        return flat
 
 
-def _ranked(key: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of ``key`` and each place's rank in it; equal keys share one, but for ``whole`` places, which go by place."""
+def _ranked(key: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The order of ``key``, each place's rank in it, and how many ranks there are.
+
+    Equal keys share a rank, but for ``whole`` places, which go by place. A key tells
+    whether its place is whole, so a rank is shared by such places or by others.
+    """
     order = np.argsort(key)
     sorted_ = key[order]
     start = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
     size = np.diff(np.append(start, len(key)))
     rank = np.empty(len(key), np.int64)
     rank[order] = np.repeat(start, size)
+    distinct = len(start)
     tied = np.flatnonzero(whole & (np.repeat(size, size)[rank] > 1)) if len(start) < len(key) else np.zeros(0, np.int64)
     if len(tied):
         tied = tied[np.argsort(rank[tied], kind="stable")]  # by rank, then place
@@ -200,13 +210,16 @@ def _ranked(key: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         offset = np.arange(len(tied)) - np.repeat(first, np.diff(np.append(first, len(tied))))
         rank[tied] += offset
         order[rank[tied]] = tied
-    return order, rank
+        distinct += len(tied) - len(first)
+    return order, rank, distinct
 
 
-def _stretches(flags: np.ndarray) -> list[tuple[int, int]]:
-    """The bytes that the flagged windows cover, as (start, end)."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return [(a, b - 1 + MATCH) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
+def _stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes that the flagged windows of each row cover, as (row, start, end), by row and start."""
+    edge = np.diff(np.pad(flags.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, start = np.nonzero(edge == 1)
+    end = np.nonzero(edge == -1)[1]
+    return row, start, end - 1 + MATCH
 
 
 def _cut(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -378,14 +391,23 @@ def _indexed(group: pa.Table) -> pa.Table:
     texts, owners = list(place), np.array(owners, np.int64)
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
     index = RunLengthIndex(texts, owners)
-    found = [_stretches(f) for f in index.earlier(owners, lens)]
-    rows = []
-    for i, p in enumerate(piece):
-        at = place[p]
-        gone = found[at] if key[i] == owners[at] else [(0, len(p))]
-        rows += [(key[i], start[i] + a, start[i] + b) for a, b in gone]
-    columns = np.array(rows, np.int64).reshape(-1, 3).T
-    return pa.table({"id": pa.array(columns[0].copy()), "lo": pa.array(columns[1].astype(np.int32)), "hi": pa.array(columns[2].astype(np.int32))})
+    row, lo, hi = _stretches(index.streamed(owners, lens))
+    at = np.fromiter((place[p] for p in piece), np.int64, len(piece))
+    first = key == owners[at]
+    later = np.flatnonzero(~first)
+    many = np.bincount(row, minlength=len(texts))
+    begin = np.cumsum(many) - many
+    own = np.flatnonzero(first)
+    n = many[at[own]]
+    which = np.repeat(begin[at[own]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    own = np.repeat(own, n)
+    return pa.table(
+        {
+            "id": pa.array(np.concatenate([key[own], key[later]])),
+            "lo": pa.array(np.concatenate([start[own] + lo[which], start[later]]).astype(np.int32)),
+            "hi": pa.array(np.concatenate([start[own] + hi[which], start[later] + lens[at[later]]]).astype(np.int32)),
+        }
+    )
 
 
 def repeated_spans(
