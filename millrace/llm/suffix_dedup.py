@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -448,6 +449,21 @@ def repeated_spans(
     return settled.unionByName(marks)
 
 
+def _islands(spans: pa.ListArray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, lo, hi) of the maximal stretches that each row's spans cover, within its ``n`` bytes."""
+    row = np.repeat(np.arange(len(n)), spans.value_lengths().fill_null(0).to_numpy())
+    lo, hi = (c.to_numpy().astype(np.int64) for c in spans.flatten().flatten())
+    hi = np.minimum(hi, n[row])
+    order = np.flatnonzero(lo < hi)
+    order = order[np.lexsort((lo[order], row[order]))]
+    row, lo, hi = row[order], lo[order], hi[order]
+    reach = np.maximum.accumulate(row << 32 | hi) & 0xFFFFFFFF  # the farthest end so far of the row
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (lo[1:] > reach[:-1])
+    first = np.flatnonzero(new)
+    return row[first], lo[first], reach[np.append(first[1:], len(row))[: len(first)] - 1]
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -464,7 +480,8 @@ def remove_repeats(
     with different values; their bytes aren't compared.
 
     Null or short text (under MATCH bytes): nothing removed. Null id: neither source
-    nor target. Rows that repeat an id should be alike: its spans are those of all.
+    nor target. Rows that repeat an id should be alike: its spans are those of all,
+    as far as a row's text goes.
     Empty table: no rows. Other columns are ignored.
     """
     spans = repeated_spans(docs, id_col, text_col, crowd, block_bytes)
@@ -475,22 +492,19 @@ def remove_repeats(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                data = text.encode()
-                flags = np.zeros(len(data) + 1, np.int32)
-                for s in spans or []:
-                    flags[s["lo"]] += 1
-                    flags[s["hi"]] -= 1
-                gone = np.cumsum(flags[:-1]) > 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                removed = [{"lo": a, "hi": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
-                rows.append((len(data), int(gone.sum()), len(removed), kept, removed))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))
+            texts = batch.column(1).cast(pa.binary())
+            n = pc.binary_length(texts).to_numpy().astype(np.int64)
+            row, lo, hi = _islands(batch.column(2), n)
+            kept, many = texts.to_pylist(), np.bincount(row, minlength=len(n))
+            begin = np.append(0, np.cumsum(many))
+            for i in np.flatnonzero(many).tolist():
+                mine = slice(begin[i], begin[i + 1])
+                edges = zip([0, *hi[mine].tolist()], [*lo[mine].tolist(), None], strict=True)
+                kept[i] = b"".join([kept[i][x:y] for x, y in edges])
+            gone = np.bincount(row, weights=hi - lo, minlength=len(n)).astype(np.int64)
+            removed = pa.ListArray.from_arrays(begin.astype(np.int32), pa.StructArray.from_arrays([pa.array(lo), pa.array(hi)], ["lo", "hi"]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
+                [batch.column(0), pa.array(n), pa.array(gone), pa.array(many), pa.array(kept, pa.binary()), removed],
                 ["id", "n_bytes", "n_removed", "n_spans", "kept", "removed"],
             )
 
