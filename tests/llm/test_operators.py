@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -453,7 +454,6 @@ def test_suffix_dedup(spark):
 
 def test_crowded_grams_are_cut_to_windows(spark, monkeypatch):
     rows = [(0, None, [{"gram": 1, "start": 0, "windows": 3, "crowded": True}])]
-    import pyarrow as pa
 
     batch = pa.RecordBatch.from_pydict({"id": [4], "text": ["q" * 60], "found": [rows[0][2]]})
     out = next(suffix_dedup._texts(iter([batch])))
@@ -471,6 +471,23 @@ def test_suffix_dedup_of_a_crowded_gram(spark):
         assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in out} == want
 
 
+def test_spans_of_a_batch_are_merged():
+    """Overlaps and touching spans are one stretch; null, empty and too long lists of rows that repeat an id are met."""
+    rnd = np.random.default_rng(2)
+    kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+    for size in [0, 1, 2, 5] * 100:
+        n = rnd.choice([0, 5, 20], size)
+        spans, want = [], []
+        for i in range(size):
+            lo = rnd.integers(0, 25, rnd.integers(0, 5)).tolist()
+            spans.append([{"lo": a, "hi": a + int(rnd.integers(1, 6))} for a in lo] if lo or i % 2 else None)
+            covered = [any(x["lo"] <= b < x["hi"] for x in spans[i] or []) for b in range(n[i])] + [False]
+            edges = [b for b in range(n[i] + 1) if covered[b] != (b > 0 and covered[b - 1])]
+            want += [(i, a, b) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+        got = suffix_dedup._islands(pa.array(spans, kind), n)
+        assert list(zip(*(g.tolist() for g in got), strict=True)) == want
+
+
 def test_run_length_index():
     rnd = np.random.default_rng(1)
     seed = bytes(rnd.integers(97, 100, 400).astype(np.uint8))
