@@ -119,11 +119,14 @@ def date_of_text(text: Column) -> Column:
 def _micros(number: Column, unit: str) -> Column:
     if unit == "millis":
         return number.cast("bigint") * 1000
-    return F.expr("1L") * number.cast("bigint") if unit == "micros" else F.floor(number.cast("bigint") / F.lit(1000).cast("decimal(20,0)")).cast("bigint")
+    if unit == "micros":
+        return F.expr("1L") * number.cast("bigint")
+    # a bigint of nanos ends in the year 2262, a timestamp doesn't
+    return F.floor(number.cast("decimal(38,0)") / F.lit(1000).cast("decimal(20,0)")).cast("bigint")
 
 
 def timestamp_ntz_of(number: Column, unit: str) -> Column:
-    """Epoch millis, micros or nanos as a local time of UTC."""
+    """Epoch millis, micros or nanos (these may be a decimal of scale 0) as a local time of UTC."""
     at = F.timestamp_micros(_micros(number, unit))
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz"))
 

@@ -327,7 +327,7 @@ def _temporal(name, expr, sql):
 
 _temporal("temporal_millis", lambda: coerce.timestamp_ntz_of(F.col("o_orderkey") * 86_400_123, "millis"), "SELECT o_orderkey, make_timestamp(o_orderkey * 86400123 * 1000) AS v FROM orders")
 _temporal("temporal_micros", lambda: coerce.timestamp_ntz_of(F.col("o_orderkey") * 86_400_123_457, "micros"), "SELECT o_orderkey, make_timestamp(o_orderkey * 86400123457) AS v FROM orders")
-_temporal("temporal_nanos", lambda: coerce.timestamp_ntz_of(F.col("o_orderkey") * 86_400_123_456_789, "nanos"), "SELECT o_orderkey, make_timestamp(o_orderkey * 86400123456789 // 1000) AS v FROM orders")
+_temporal("temporal_nanos", lambda: coerce.timestamp_ntz_of(F.col("o_orderkey").cast("decimal(20,0)") * 86_400_123_456_789, "nanos"), "SELECT o_orderkey, make_timestamp(o_orderkey * 86400123456789 // 1000) AS v FROM orders")
 _temporal("temporal_date", lambda: coerce.date_of_days(F.col("o_orderkey") % 20000).cast("string"), "SELECT o_orderkey, CAST(DATE '1970-01-01' + CAST(o_orderkey % 20000 AS INTEGER) AS VARCHAR) AS v FROM orders")
 _temporal("temporal_date_text", lambda: coerce.date_of_text(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("Z"))).cast("string"), "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS v FROM orders")
 _temporal("temporal_iso_text", lambda: coerce.timestamp_ntz_of_text(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))), "SELECT o_orderkey, date_trunc('second', o_orderdate)::TIMESTAMP AS v FROM orders")

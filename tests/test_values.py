@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import coerce
 from millrace.options import Options
+from millrace.plans.catalogue import QUERIES
 
 
 def values(spark, f, docs):
@@ -58,6 +59,21 @@ def test_times(spark):
     assert one(spark, coerce.time_of(F.lit(3_723_004), "millis")) == "01:02:03.004000"
 
 
+def test_nanos_beyond_a_bigint(spark):
+    for n in (2**63 - 1, 2**63, 106_752 * 86_400_123_456_789, 8_999_999 * 86_400_123_456_789, -(2**63) - 1):
+        got = spark.range(1).select(F.unix_micros(coerce.timestamp_ntz_of(F.lit(f"{n}").cast("decimal(38,0)"), "nanos").cast("timestamp")).alias("v")).first()["v"]
+        assert got == n // 1000
+
+
+def test_query_nanos_of_large_keys(spark, tmp_path):
+    keys = [0, 1, 106_751, 106_752, 149_999, 899_999, 8_999_999, None]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = QUERIES["temporal_nanos"](spark, str(tmp_path))
+    got = rows.select("o_orderkey", F.unix_micros(F.col("v").cast("timestamp")).alias("v")).collect()
+    assert rows.schema["v"].dataType == T.TimestampNTZType()
+    assert {r["o_orderkey"]: r["v"] for r in got} == {k: k if k is None else k * 86_400_123_456_789 // 1000 for k in keys}
+
+
 def test_uuid_and_binary(spark):
     u = "0F8FAD5B-D9CB-469F-A165-70867728950E"
     assert one(spark, coerce.uuid_of(F.lit(u))) == u.lower()
