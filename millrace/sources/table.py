@@ -76,6 +76,8 @@ class Snapshot:
     batches: dict[str, int] = field(default_factory=dict)
     committed_ms: int = 0
     properties: dict[str, str] = field(default_factory=dict)
+    #: Bytes of a delete folder's rows in memory; entries of older logs lack it.
+    delete_bytes: dict[str, int] = field(default_factory=dict)
 
     def dump(self) -> str:
         out = self.__dict__ | {"schema": self.schema.jsonValue(), "partition": list(map(str, self.partition))}
@@ -220,6 +222,12 @@ class Table:
             raise
         return name
 
+    def _row_bytes(self, state: Snapshot, folder: str, keys: list[T.StructField]) -> int:
+        """About the bytes that a delete folder's rows take in memory: a word for each column and the row, and the keys' text."""
+        texts = [F.coalesce(F.octet_length(F.col(_physical(f)).cast("string")), F.lit(0)) for f in keys if not isinstance(f.dataType, T.NumericType)]
+        width = sum(texts, F.lit(8 * (len(keys) + 2)).cast("bigint"))
+        return self._stored(state, [folder], keys, hidden=False).agg(F.sum(width)).first()[0] or 0
+
     def append(self, rows: DataFrame, batch_id: str | None = None, rows_per_file: int = 0) -> bool:
         """Add rows as a snapshot; False if the batch was committed before."""
         return self._attempt("append", batch_id, rows, None, rows_per_file)
@@ -237,16 +245,18 @@ class Table:
             if self.committed(batch_id):
                 return False
             state = self._next(operation, batch_id)
-            data, deletes = ([], []) if clear else (list(state.data), list(state.deletes))
+            data, deletes, sizes = ([], [], {}) if clear else (list(state.data), list(state.deletes), dict(state.delete_bytes))
             made = []
             try:
                 if rows is not None:
                     made.append(self._write(rows, "data", state, state.schema.fields, rows_per_file))
                     data.append(made[-1])
                 if deleted is not None:
-                    made.append(self._write(deleted, "deletes", state, [f for f in state.schema.fields if f.name in state.keys]))
+                    keys = [f for f in state.schema.fields if f.name in state.keys]
+                    made.append(self._write(deleted, "deletes", state, keys))
                     deletes.append(made[-1])
-                state.data, state.deletes = data, deletes
+                    sizes[made[-1]] = self._row_bytes(state, made[-1], keys)
+                state.data, state.deletes, state.delete_bytes = data, deletes, sizes
                 self._commit(state)
                 return True
             except CommitConflict:  # written anew under the next number
@@ -272,6 +282,11 @@ class Table:
         reader = self.spark.read.schema(schema).format(state.format).option("basePath", f"{self.folder}/{folders[0].split('/')[0]}")
         return reader.load([f"{self.folder}/{f}" for f in folders])
 
+    def _broadcastable(self, state: Snapshot) -> bool:
+        """Whether the rows of all deletes are known to fit the threshold of a broadcast."""
+        sizes = [state.delete_bytes.get(f) for f in state.deletes]
+        return None not in sizes and sum(sizes) <= self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
     def read(
         self, version: int | None = None, as_of_ms: int | None = None, where: Column | str | None = None,
         between: dict[str, tuple] | None = None, with_file: bool = False,
@@ -280,7 +295,9 @@ class Table:
 
         ``between``: column to (low, high), either None; it filters rows and prunes
         partitions by their hidden columns. Deletes are combined to the last of each
-        key and joined without a hint, so the optimizer may broadcast them.
+        key. Where their rows fit the threshold of a broadcast, the optimizer picks the
+        join; else they are merged, as it goes by the files' size, and ORC has dense
+        keys in a byte each.
         """
         state = self.snapshot(version, as_of_ms)
         rows = self._stored(state, state.data, state.schema.fields, hidden=True)
@@ -299,6 +316,7 @@ class Table:
             match = F.lit(True)
             for i, k in enumerate(keys):
                 match = match & F.col(_physical(k)).eqNullSafe(F.col(f"__k{i}"))
+            gone = gone if self._broadcastable(state) else gone.hint("merge")
             rows = rows.join(gone, match & (F.col("__gone") > F.col(SEQ)), "left_anti")
         file = [F.col("_metadata.file_path").alias("file_path")] if with_file and not state.deletes else []
         out = rows.select(*(F.col(_physical(f)).alias(f.name) for f in state.schema.fields), *file)

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -153,3 +154,40 @@ def test_overwrite_rename_and_namespace(spark, tmp_path):
     r = t.read().first()
     assert (r["id"], r["name_legacy"], r["first_name"]) == (3, "n", None)
     assert load_namespace(spark, f"file://{tmp_path.parent}", tmp_path.name) == ["t"]
+
+
+def joined(table):
+    return table.read()._jdf.queryExecution().sparkPlan().toString()
+
+
+@pytest.mark.parametrize("key", ["bigint", "string"])
+def test_many_deletes_in_small_files_are_not_broadcast(spark, tmp_path, key):
+    n = 600_000
+    rows = spark.range(n).select(F.col("id").cast(key).alias("id"), (F.col("id") % 7).alias("v"))
+    t = Table.create(spark, f"file://{tmp_path}/t", rows.schema, ["id"], format="orc")
+    t.append(rows)
+    t.row_delta(None, spark.range(0, 1000, 10).select(F.col("id").cast(key).alias("id")))
+    assert "BroadcastHashJoin" in joined(t)  # a few are still left to the optimizer
+    assert t.read().count() == n - 100
+    t.row_delta(rows.where("id % 5 <> 0"), rows.select("id"))
+    files = [p for p in (tmp_path / "t/deletes").rglob("*.orc")]
+    assert sum(p.stat().st_size for p in files) < 10 << 20
+    assert "BroadcastHashJoin" not in joined(t) and "SortMergeJoin" in joined(t)
+    want = [k for k in range(n) if k % 5]
+    got = t.read().agg(F.count("*"), F.sum(F.col("id").cast("bigint")), F.sum("v")).first()
+    assert tuple(got) == (len(want), sum(want), sum(k % 7 for k in want))
+
+
+def test_deletes_of_a_log_without_sizes(spark, tmp_path):
+    t = Table.create(spark, f"file://{tmp_path}/t", spark.range(0).schema, ["id"], format="orc")
+    t.append(spark.range(100))
+    t.row_delta(spark.range(5), spark.range(50))
+    entry = tmp_path / "t/_log/0000000002.json"
+    raw = json.loads(entry.read_text())
+    assert list(raw.pop("delete_bytes").values()) == [50 * 24]
+    (entry.parent / f".{entry.name}.crc").unlink(missing_ok=True)
+    entry.write_text(json.dumps(raw))
+    assert "BroadcastHashJoin" not in joined(t)
+    assert sorted(r["id"] for r in t.read().collect()) == [*range(5), *range(50, 100)]
+    t.compact()
+    assert t.snapshot().delete_bytes == {} and t.read().count() == 55
